@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hotrank.functions import text
+
 # A batch holds actions of one user whose numbers fall into the same block of this size.
 BLOCK = 256
 
@@ -42,7 +44,7 @@ def creation_messages(creations: DataFrame) -> DataFrame:
         F.pmod("creation_id", F.lit(2)) == 0, _json("creation", fields, pick)
     ).otherwise(_json("creation", as_text, pick))
     return creations.select(
-        value.cast("binary").alias("value"),
+        text.once(value.cast("binary")).alias("value"),
         F.lit("creations").alias("topic"),
         F.lit(0).alias("partition"),
         F.col("arrival_seq").alias("offset"),
@@ -90,7 +92,7 @@ def action_messages(lists: DataFrame) -> DataFrame:
         F.pmod("block", F.lit(2)) == 0, _json("action_batch", [*joined, user], pick)
     ).otherwise(_json("action_batch", [*loose, user.cast("string")], pick))
     return lists.select(
-        value.cast("binary").alias("value"),
+        text.once(value.cast("binary")).alias("value"),
         F.lit("actions").alias("topic"),
         F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
         (F.col("block") * 1_000_000 + F.col("user_id")).alias("offset"),

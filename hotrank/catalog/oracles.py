@@ -235,7 +235,7 @@ SELECT outcome, count(*) AS n FROM (
   UNION ALL SELECT 'accepted' FROM documents
   UNION ALL
   SELECT CASE WHEN source IS NULL THEN 'null_creation_id'
-              WHEN TRY_CAST(source AS BIGINT) IS NULL THEN 'bad_number'
+              WHEN TRY_CAST(source AS BIGINT) IS NULL THEN 'bad_field'
               ELSE 'accepted' END FROM documents
   UNION ALL SELECT 'null_creation_id' FROM documents)
 GROUP BY outcome""",

@@ -17,7 +17,7 @@ from hotrank.operators.scoring import running_score
 from hotrank.operators.windows import latest_per_window, windowed_scores
 from hotrank.options import KafkaSourceOptions, RankingOptions
 from hotrank.plans import ranking
-from hotrank.session import shared_dir
+from hotrank.session import fresh_folder
 from hotrank.sources import decode
 from hotrank.streaming.board import BoardTable
 from hotrank.streaming.pipeline import start
@@ -247,7 +247,7 @@ def hot_ranking_from_messages(spark, sf):
     board = ranking.bounded_ranking(
         spark,
         options,
-        _fresh_folder(spark, "messages"),
+        fresh_folder(spark, "messages"),
         messages.creation_messages(tables.part_versions(spark, sf)),
         messages.action_messages(messages.packed_lists(tables.event_actions(spark, sf))),
     )
@@ -268,11 +268,6 @@ def leaderboard_replay(spark, sf):
 # --- streams ------------------------------------------------------------------------------
 
 
-def _fresh_folder(spark: SparkSession, name: str) -> str:
-    unique = spark.range(1).select(F.expr("uuid()")).first()[0]
-    return f"{shared_dir(spark)}/{name}-{unique}"
-
-
 def _table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     schema = tables.read(spark, sf, name).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
@@ -296,7 +291,7 @@ def _event_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_equals_batch(spark, sf):
-    folder = _fresh_folder(spark, "stream")
+    folder = fresh_folder(spark, "stream")
     query = (
         _event_windows_stream(spark, sf)
         .writeStream.format("parquet")
@@ -310,7 +305,7 @@ def stream_equals_batch(spark, sf):
 
 
 def stream_board(spark, sf):
-    folder = _fresh_folder(spark, "stream")
+    folder = fresh_folder(spark, "stream")
     source = {"bootstrap_servers": "unused:9092", "group_id": "unused", "topics": ["unused"]}
     options = RankingOptions(
         KafkaSourceOptions(**source), KafkaSourceOptions(**source), board_size=STREAM_BOARD

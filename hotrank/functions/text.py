@@ -15,7 +15,7 @@ def has_content(text: Column) -> Column:
 
 def split_list(text: Column) -> Column:
     """Elements of a comma list. Trailing empties vanish; NULL or blank gives no element."""
-    body = F.regexp_replace(text, ",+$", "")
+    body = F.rtrim(text, F.lit(","))
     return F.when(
         has_content(text) & (body != ""), F.split(body, ",", -1)
     ).otherwise(F.array().cast("array<string>"))
@@ -52,3 +52,12 @@ def ranking_key(category: Column) -> Column:
 
 def member_text(creation_id: Column) -> Column:
     return creation_id.cast("string")
+
+
+def once(value: Column) -> Column:
+    """``value``, computed a single time per row; for use as a column of its own in a select.
+
+    A filter over a computed column is moved below it and computes it again, as often as the
+    condition names it. It is not moved below a generator, so what is costly goes through one.
+    """
+    return F.explode(F.array(value))

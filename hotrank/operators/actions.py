@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hotrank import schemas
 from hotrank.functions import text
+from hotrank.sources import decode
 
 
 def split_batches(batches: DataFrame) -> DataFrame:
@@ -14,31 +15,40 @@ def split_batches(batches: DataFrame) -> DataFrame:
 
     Positions run to the longest list. A position beyond the timestamps is ``surplus``, one
     that some other list does not reach is ``missing_element``, one that does not parse is
-    ``bad_number``. Batches without a user give nothing. Narrow: no shuffle.
+    ``bad_number``. Batches without a user give nothing. Takes typed batches, or decoded ones
+    with their annotations: what could not be decoded then passes through as one row, so a
+    single pass tells sound from unsound. Narrow: no shuffle.
     """
     carried = [c for c in ("arrival_ts", "arrival_seq") if c in batches.columns]
-    lists = batches.filter(F.col("user_id").isNotNull()).select(
+    annotated = "reason" in batches.columns
+    lists = ["action_type_list", "creation_id_list", "timestamp_list"]
+    packed = F.concat_ws(" / ", *[F.coalesce(F.col(c), F.lit("null")) for c in lists])
+    undecoded = F.col("reason") if annotated else F.lit(None).cast("string")
+    batches = batches.filter(undecoded.isNotNull() | F.col("user_id").isNotNull())
+    batches = batches.select(
         "user_id",
         *carried,
-        F.concat_ws(
-            " / ",
-            *[
-                F.coalesce(F.col(c), F.lit("null"))
-                for c in ("action_type_list", "creation_id_list", "timestamp_list")
-            ],
-        ).alias("raw"),
-        text.split_list(F.col("action_type_list")).alias("types"),
-        text.split_list(F.col("creation_id_list")).alias("ids"),
-        text.split_list(F.col("timestamp_list")).alias("times"),
+        undecoded.alias("undecoded"),
+        F.when(undecoded.isNotNull(), F.col("raw") if annotated else packed)
+        .otherwise(packed)
+        .alias("raw"),
+        *[
+            text.split_list(F.col(c)).alias(name)
+            for c, name in zip(lists, ("types", "ids", "times"))
+        ],
     )
-    places = lists.select(
+    zipped = F.arrays_zip("types", "ids", "times")
+    # An undecoded message has one position, and nothing in it.
+    items = F.when(F.col("undecoded").isNull(), zipped).otherwise(F.array(F.get(zipped, F.lit(-1))))
+    places = batches.select(
         "user_id",
         *carried,
+        "undecoded",
         "raw",
         F.size("types").alias("n_types"),
         F.size("ids").alias("n_ids"),
         F.size("times").alias("n_times"),
-        F.posexplode(F.arrays_zip("types", "ids", "times")).alias("pos", "item"),
+        F.posexplode(items).alias("pos", "item"),
     )
     number = {
         "action_type": text.strict_int(F.col("item.types")),
@@ -46,7 +56,8 @@ def split_batches(batches: DataFrame) -> DataFrame:
         "action_ts": text.strict_long(F.col("item.times")),
     }
     reason = (
-        F.when(F.col("pos") >= F.col("n_times"), F.lit("surplus"))
+        F.when(F.col("undecoded").isNotNull(), F.col("undecoded"))
+        .when(F.col("pos") >= F.col("n_times"), F.lit("surplus"))
         .when(
             (F.col("pos") >= F.col("n_types")) | (F.col("pos") >= F.col("n_ids")),
             F.lit("missing_element"),
@@ -76,16 +87,14 @@ def is_ragged(types: str, ids: str, times: str):
 
 
 def actions_of(split: DataFrame, on_malformed: str = "quarantine") -> DataFrame:
-    """Complete actions. ``on_malformed="fail"`` ends the query on a missing element only:
-    a bad number costs its own position, never the batch."""
+    """Complete actions. With ``on_malformed="fail"`` a missing element, or a message that
+    could not be decoded, ends the query; a bad number or a surplus costs its own position
+    only."""
     sound = F.col("reason").isNull()
     if on_malformed == "fail":
-        sound = F.when(
-            F.col("reason") == "missing_element",
-            F.raise_error(F.concat_ws(" ", F.lit("ragged action batch"), F.col("raw"))).cast(
-                "boolean"
-            ),
-        ).otherwise(sound)
+        fatal = F.col("reason").isin("missing_element", *decode.REASONS)
+        message = F.concat_ws(" ", F.lit("action batch:"), F.col("reason"), F.col("raw"))
+        sound = F.when(fatal, F.raise_error(message).cast("boolean")).otherwise(sound)
     return split.filter(sound).drop("source", "reason", "raw")
 
 

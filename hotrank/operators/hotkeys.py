@@ -15,12 +15,12 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hotrank.session import checkpointed
+from hotrank.session import as_table, checkpointed
 
 SEGMENT_ROWS = 2_000_000
-# Bound on the broadcast list of hot keys and on the number of segments. Beyond it the
-# threshold rises, so fewer keys count as hot and segments grow.
-MAX_HOT_KEYS = 100_000
+# Bound on the number of segments, and with it on the broadcast list of hot keys. Beyond it the
+# threshold rises: fewer keys count as hot, and segments grow.
+MAX_SEGMENTS = 10_000
 
 
 @dataclass(frozen=True)
@@ -32,7 +32,11 @@ class Split:
 
 
 def split_hot_keys(
-    df: DataFrame, key: str, order: list[str], segment_rows: int | None = SEGMENT_ROWS
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    segment_rows: int | None = SEGMENT_ROWS,
+    max_segments: int = MAX_SEGMENTS,
 ) -> Split:
     """Sets apart the keys with more than ``segment_rows`` rows.
 
@@ -43,14 +47,13 @@ def split_hot_keys(
     """
     if segment_rows is None:
         return Split(df, None)
-    counts = df.groupBy(key).count().filter(F.col("count") > segment_rows)
-    counts = checkpointed(counts)
+    counts = checkpointed(df.groupBy(key).count().filter(F.col("count") > segment_rows))
     n_keys, n_rows = counts.agg(F.count("*"), F.sum("count")).first()
     if n_keys == 0:
         return Split(df, None)
-    limit = max(segment_rows, ceil(n_rows / MAX_HOT_KEYS))
+    limit = max(segment_rows, ceil(n_rows / max_segments))
     if limit > segment_rows:
-        # Fewer than n_rows / limit <= MAX_HOT_KEYS keys can pass.
+        # Fewer than n_rows / limit <= max_segments keys can pass.
         counts = counts.filter(F.col("count") > limit)
         n_rows = counts.agg(F.sum("count")).first()[0]
         if n_rows is None:
@@ -61,4 +64,4 @@ def split_hot_keys(
         .repartitionByRange(ceil(n_rows / limit), key, *order)
         .withColumn("segment", F.spark_partition_id())
     )
-    return Split(df.join(keys, key, "left_anti"), checkpointed(hot))
+    return Split(df.join(keys, key, "left_anti"), as_table(hot, "hot-keys"))

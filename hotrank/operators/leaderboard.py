@@ -10,7 +10,10 @@ from hotrank.schemas import BOARD, BOARD_COLUMNS
 from hotrank.session import checkpointed
 
 BOARD_SIZE = 100
-_STEPS_PER_CHECKPOINT = 4
+_STEPS_PER_CHECKPOINT = 2
+# Up to this many places the planner itself cuts each task's rows before the shuffle.
+_PLANNER_LIMIT = 1000
+_SHARES = 64
 
 
 def empty_board(spark: SparkSession) -> DataFrame:
@@ -22,16 +25,17 @@ def top_n(scores: DataFrame, n: int = BOARD_SIZE) -> DataFrame:
 
     Rows without a category are dropped; the empty category is one like any other. The planner
     keeps at most ``n`` rows per category and task before it shuffles by category, so a
-    category with most of the rows costs no more than ``n`` rows per task.
+    category with most of the rows costs no more than ``n`` rows per task. It does so for short
+    rankings only; for long ones each category is first cut down share by share.
     """
-    best = Window.partitionBy("category").orderBy(
-        F.desc("score"), member_text(F.col("creation_id")).desc()
-    )
-    return (
-        scores.filter(F.col("category").isNotNull())
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= n)
-    )
+    order = [F.desc("score"), member_text(F.col("creation_id")).desc()]
+    scores = scores.filter(F.col("category").isNotNull())
+    if n > _PLANNER_LIMIT:
+        share = F.pmod(F.xxhash64("creation_id"), F.lit(_SHARES))
+        best = Window.partitionBy("category", share).orderBy(*order)
+        scores = scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
+    best = Window.partitionBy("category").orderBy(*order)
+    return scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 
 
 def latest_scores(windowed: DataFrame) -> DataFrame:

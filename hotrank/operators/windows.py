@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hotrank.functions.decay import LONG_MIN, action_weight, decay, decay_rate, decayed_to, millis
 from hotrank.operators.scoring import CHUNK_EXPONENT, decayed_running_sum
-from hotrank.schemas import ARRIVAL_ORDER, WINDOWED_COLUMNS
+from hotrank.schemas import ARRIVAL_ORDER, SCORE_COLUMNS, WINDOWED_COLUMNS
 
 
 def tumbling(arrival_ts: str, size: timedelta | int) -> Column:
@@ -53,6 +53,11 @@ def windowed_scores(
     return decay_to_window_end(latest_per_window(scored, size), half_life)
 
 
+def without_window(windowed: DataFrame) -> DataFrame:
+    """The plain score columns, for a reader that does not care about windows."""
+    return windowed.select(*SCORE_COLUMNS)
+
+
 def event_time_window_scores(
     actions: DataFrame, half_life: timedelta | int, size: timedelta | int
 ) -> DataFrame:

@@ -18,7 +18,7 @@ from hotrank.operators.windows import (
     windowed_scores,
 )
 from hotrank.options import RankingOptions
-from hotrank.session import shared_dir
+from hotrank.session import as_table
 from hotrank.sources import decode, kafka
 
 
@@ -60,13 +60,12 @@ def replay_board(windows: DataFrame, n: int = BOARD_SIZE) -> DataFrame:
     at most ``n`` rows per category.
     """
     spark = windows.sparkSession
-    table = f"{shared_dir(spark)}/windows-{spark.range(1).select(F.expr('uuid()')).first()[0]}"
-    windows.filter(F.col("category").isNotNull()).repartition("window_end").write.partitionBy(
-        "window_end"
-    ).parquet(table)
-    written = spark.read.parquet(table).withColumn("window_end", F.col("window_end").cast("long"))
-    ends = [r[0] for r in written.select("window_end").distinct().orderBy("window_end").collect()]
-    return fold_windows(empty_board(spark), written, ends, n)
+    # Rebalanced: few files per window, yet a window with most of the rows is still split.
+    rows = windows.filter(F.col("category").isNotNull()).hint("rebalance", "window_end")
+    written = as_table(rows, "windows", "window_end")
+    written = written.withColumn("window_end", F.col("window_end").cast("long"))
+    ends = [r[0] for r in written.select("window_end").distinct().collect()]
+    return fold_windows(empty_board(spark), written, sorted(ends), n)
 
 
 def bounded_ranking(
@@ -79,9 +78,10 @@ def bounded_ranking(
 ) -> DataFrame:
     """Reads both topics up to their latest offsets and ranks what they hold.
 
-    Messages are decoded once, into tables under ``output``; everything later reads those with
-    column pruning. What could not be decoded or split is left in ``output/quarantine``.
-    Broker time serves as arrival time, since all messages are read at once.
+    Messages are decoded once, into two tables under ``output``; everything later reads those
+    with column pruning. What could not be decoded or split lies in their ``sound=false``
+    partitions, with its reason and raw text. Broker time serves as arrival time, since all
+    messages are read at once.
     """
     if creations_raw is None:
         creations_raw = kafka.read_batch(spark, options.creation_source)
@@ -90,26 +90,27 @@ def bounded_ranking(
     made = decode.decode_creations(
         kafka.with_arrival(creations_raw, list(options.creation_source.topics), "kafka")
     )
-    packed = decode.decode_action_batches(
-        kafka.with_arrival(actions_raw, list(options.action_source.topics), "kafka")
+    done = split.split_batches(
+        decode.decode_action_batches(
+            kafka.with_arrival(actions_raw, list(options.action_source.topics), "kafka")
+        )
     )
-    places = split.split_batches(decode.accepted(packed, options.on_malformed))
-    bad = (
-        decode.quarantined(made)
-        .unionByName(decode.quarantined(packed))
-        .unionByName(split.quarantined(places))
-    )
-    decode.accepted(made, options.on_malformed).write.mode("overwrite").parquet(
-        f"{output}/creations"
-    )
-    split.actions_of(places, options.on_malformed).write.mode("overwrite").parquet(
-        f"{output}/actions"
-    )
-    if options.on_malformed == "quarantine":
-        bad.write.mode("overwrite").parquet(f"{output}/quarantine")
+    if options.on_malformed == "fail":
+        made = decode.accepted(made, "fail").withColumn("reason", F.lit(None).cast("string"))
+        done = split.actions_of(done, "fail").withColumn("reason", F.lit(None).cast("string"))
+    tables = {}
+    for name, rows in (("creations", made), ("actions", done)):
+        sound = F.col("reason").isNull()
+        if "raw" in rows.columns:
+            rows = rows.withColumn("raw", F.when(~sound, F.col("raw")))
+        rows.withColumn("sound", sound).write.mode("overwrite").partitionBy("sound").parquet(
+            f"{output}/{name}"
+        )
+        # The folder's name comes back as text.
+        tables[name] = spark.read.parquet(f"{output}/{name}").filter("sound = 'true'")
     rows = windowed(
-        spark.read.parquet(f"{output}/creations"),
-        spark.read.parquet(f"{output}/actions"),
+        tables["creations"],
+        tables["actions"],
         options.window_size,
         options.score_half_life,
         options.window_half_life,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +51,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared one."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4()}"
+
+
+def as_table(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """``df`` written as Parquet below the shared folder, and read back from there."""
+    folder = fresh_folder(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(folder)
+    return df.sparkSession.read.parquet(folder)

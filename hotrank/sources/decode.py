@@ -14,29 +14,36 @@ from pyspark.sql import types as T
 from hotrank import schemas
 from hotrank.functions import text
 
+MALFORMED, BAD_FIELD, NO_ID = "malformed_json", "bad_field", "null_creation_id"
+REASONS = (MALFORMED, BAD_FIELD, NO_ID)
+
 
 def _decode(raw: DataFrame, record: T.StructType, source: str) -> DataFrame:
     carried = [c for c in ("arrival_ts", "arrival_seq") if c in raw.columns]
     body = raw.select(F.col("value").cast("string").alias("raw"), *carried)
     # Empty messages and a literal null are no records at all.
     body = body.filter(text.has_content(F.col("raw")) & (F.trim("raw") != "null"))
-    body = body.withColumn("_obj", text.json_object(F.col("raw")))
-    body = body.withColumn("_names", text.plain_names(F.col("_obj")))
-    read = {
-        f.name: text.field(F.col("_names"), F.col("_obj"), f.name) for f in record.fields
-    }
+    body = body.select("*", text.once(text.json_object(F.col("raw"))).alias("_obj"))
+    names = text.plain_names(F.col("_obj"))
+    found = F.transform(
+        F.array(names),
+        lambda n: F.struct(
+            *[text.field(n, F.col("_obj"), f.name).alias(f.name) for f in record.fields]
+        ),
+    )
+    body = body.select("raw", *carried, F.col("_obj").isNull().alias("_none"), F.inline(found))
     as_number = {T.IntegerType(): text.strict_int, T.LongType(): text.strict_long}
     bad_number = F.lit(False)
     typed = []
     for f in record.fields:
-        value = read[f.name]
+        value = F.col(f.name)
         if f.dataType in as_number:
             number = as_number[f.dataType](value)
             bad_number = bad_number | (value.isNotNull() & number.isNull())
             value = number
         typed.append(value.alias(f.name))
-    reason = F.when(F.col("_obj").isNull(), F.lit("malformed_json")).when(
-        bad_number, F.lit("bad_number")
+    reason = F.when(F.col("_none"), F.lit(MALFORMED)).when(
+        bad_number, F.lit(BAD_FIELD)
     )
     return body.select(
         F.lit(source).alias("source"), reason.alias("reason"), "raw", *typed, *carried
@@ -49,7 +56,7 @@ def decode_creations(raw: DataFrame) -> DataFrame:
     return out.withColumn(
         "reason",
         F.coalesce(
-            "reason", F.when(F.col("creation_id").isNull(), F.lit("null_creation_id"))
+            "reason", F.when(F.col("creation_id").isNull(), F.lit(NO_ID))
         ),
     )
 

@@ -1,4 +1,4 @@
-"""The running score on arrays, for use inside tasks of the streaming job.
+"""The running score inside tasks of the streaming job.
 
 Consecutive actions of one creation add up to a *stretch*: the times of its first, last and
 newest action, the clock it ran, and the score it ends with from zero. A stretch behaves like a
@@ -7,6 +7,9 @@ single action, so stretches built anywhere can be strung together in order.
 
 from __future__ import annotations
 
+from math import exp
+from operator import attrgetter
+
 import numpy as np
 import pandas as pd
 
@@ -77,41 +80,23 @@ def stretches(rows: pd.DataFrame, rate: float) -> pd.DataFrame:
     return pd.concat([made, out], ignore_index=True)
 
 
-def follow(rows: pd.DataFrame, state: tuple | None, rate: float):
-    """Carries one creation's state over its new rows.
+def follow(rows, state: tuple | None, rate: float):
+    """Carries one creation's state over its new rows, which may come in any order.
 
     ``state`` is (category, score, last action time), None while the creation is unknown; the
     time is None before its first action. Gives the scored rows, each standing for the newest
-    action of its stretch, and the new state.
+    action of its stretch, and the new state. Actions of an unknown creation leave no trace.
     """
-    rows = rows.sort_values(ORDER, kind="stable")
-    made = rows["is_creation"].to_numpy()
-    version = np.maximum.accumulate(np.where(made, np.arange(len(rows)), -1))
-    known = (version >= 0) | (state is not None)
-    category = rows["category"].to_numpy(dtype=object)[version]
-    if state is not None:
-        category = np.where(version >= 0, category, state[0])
-
-    score, last_ts = (state[1], state[2]) if state is not None else (0.0, None)
-    keep = known & ~made
-    done = rows[keep]
-    out = done[ORDER].copy()
-    out["category"] = category[keep]
-    if len(done):
-        first = done["first_ts"].to_numpy()
-        last = done["last_ts"].to_numpy()
-        before = np.append(first[:1] if last_ts is None else last_ts, last[:-1])
-        gap = np.maximum(0, first - before)
-        ends = np.cumsum(gap + done["clock"].to_numpy())
-        start = np.zeros(len(done), dtype="int64")
-        total = decayed_scan(done["gain"].to_numpy(), ends, start, rate)
-        total = total + score * np.exp(-rate * ends)
-        inherited = np.append(score, total[:-1])
-        faded = np.exp(-rate * (gap + done["newest_clock"].to_numpy()))
-        out["score"] = done["newest_gain"].to_numpy() + inherited * faded
-        out["last_action_ts"] = done["newest_ts"].to_numpy()
-        score, last_ts = float(total[-1]), int(last[-1])
-    if known[-1]:
-        current = category[-1]
-        state = (None if pd.isna(current) else current, score, last_ts)
+    out = []
+    for row in sorted(rows, key=attrgetter(*ORDER)):
+        if row.is_creation:
+            score, last_ts = (0.0, None) if state is None else state[1:]
+            state = (row.category, score, last_ts)
+        elif state is not None:
+            category, score, last_ts = state
+            gap = 0 if last_ts is None else max(0, row.first_ts - last_ts)
+            newest = score * exp(-rate * (gap + row.newest_clock)) + row.newest_gain
+            score = score * exp(-rate * (gap + row.clock)) + row.gain
+            state = (category, score, row.last_ts)
+            out.append((category, newest, row.newest_ts, *(row[c] for c in ORDER)))
     return out, state

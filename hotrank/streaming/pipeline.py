@@ -21,19 +21,15 @@ def decoded_inputs(
 ) -> tuple[DataFrame, DataFrame]:
     """Creations and single actions of raw rows that carry their arrival columns."""
     made = decode.accepted(decode.decode_creations(creations_raw), on_malformed)
-    packed = decode.accepted(decode.decode_action_batches(actions_raw), on_malformed)
-    return made, split.actions_of(split.split_batches(packed), on_malformed)
+    places = split.split_batches(decode.decode_action_batches(actions_raw))
+    return made, split.actions_of(places, on_malformed)
 
 
 def quarantine(creations_raw: DataFrame, actions_raw: DataFrame) -> DataFrame:
     """Whatever ``decoded_inputs`` leaves out, for a query of its own."""
-    packed = decode.decode_action_batches(actions_raw)
-    places = split.split_batches(decode.accepted(packed))
-    return (
-        decode.quarantined(decode.decode_creations(creations_raw))
-        .unionByName(decode.quarantined(packed))
-        .unionByName(split.quarantined(places))
-    )
+    places = split.split_batches(decode.decode_action_batches(actions_raw))
+    made = decode.decode_creations(creations_raw)
+    return decode.quarantined(made).unionByName(split.quarantined(places))
 
 
 def ranking_stream(
@@ -88,9 +84,9 @@ def build_pipeline(
 ) -> StreamingQuery:
     """Starts the job on Kafka.
 
-    Under the wall clock (``clock="processing"``) nothing is late, hot creations shrink before
-    the shuffle, and ticks close windows on quiet topics. ``clock="kafka"`` takes broker time,
-    which repeats on a re-read, and needs a ``delay``. Both sources bounded: the job reads up to
+    Under the wall clock (``clock="processing"``) nothing is late, and ticks close windows on
+    quiet topics. ``clock="kafka"`` takes broker time, which repeats on a re-read, and needs a
+    ``delay``. Hot creations shrink before the shuffle. Both sources bounded: the job reads up to
     the latest offsets and ends.
     """
     creation, action = options.creation_source, options.action_source
@@ -106,7 +102,7 @@ def build_pipeline(
         actions_raw,
         options,
         delay,
-        combine=live,
+        combine=True,
         ticks=heartbeat(spark) if live and not creation.bounded else None,
     )
     board = BoardTable(board_path, options.board_size)

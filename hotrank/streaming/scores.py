@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from hotrank.functions.decay import LONG_MIN, action_weight, decay_rate, millis
 from hotrank.operators.windows import windowed_scores
-from hotrank.schemas import ARRIVAL_ORDER
+from hotrank.schemas import ARRIVAL_ORDER, SCORE_COLUMNS
 from hotrank.streaming.fold import STRETCH, follow, stretches
 
 _STATE = "category string, score double, last_ts bigint"
@@ -19,6 +18,7 @@ _SCORED = (
     "creation_id bigint, category string, score double, last_action_ts bigint, "
     "arrival_ts timestamp, arrival_seq bigint, pos bigint"
 )
+_SCORED_NAMES = ["creation_id", *SCORE_COLUMNS[1:], *ARRIVAL_ORDER]
 
 
 class ScoreKeeper(StatefulProcessor):
@@ -36,17 +36,11 @@ class ScoreKeeper(StatefulProcessor):
         self.state = handle.getValueState("creation", _STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        state = self.state.get()
-        # A key's rows may come in several chunks and in any order.
-        frame = pd.concat(list(rows), ignore_index=True)
-        scored, after = follow(frame, state, self.rate)
-        if after is not None:
-            self.state.update(after)
-        if len(scored):
-            scored["creation_id"] = key[0]
-            yield scored[
-                ["creation_id", "category", "score", "last_action_ts", *ARRIVAL_ORDER]
-            ]
+        scored, state = follow(rows, self.state.get(), self.rate)
+        if state is not None:
+            self.state.update(state)
+        for row in scored:
+            yield Row(**dict(zip(_SCORED_NAMES, (key[0], *row))))
 
     def close(self) -> None:
         pass
@@ -100,9 +94,9 @@ def stream_timeline(creations: DataFrame, actions: DataFrame) -> DataFrame:
 def combine_in_tasks(rows: DataFrame, rate: float) -> DataFrame:
     """Shrinks a hot creation before the shuffle: to one row per Arrow batch and ``arrival_ts``.
 
-    Only for input whose tasks each read a consecutive part of the arrival order, as Kafka's
-    do under the wall clock: there, all rows of a micro-batch share one ``arrival_ts`` and a
-    task reads one range of one partition.
+    Only for input whose tasks hold a consecutive part of each ``arrival_ts``, as Kafka's do:
+    rows of one time are ordered by partition and offset, and a task reads one range of one
+    partition. Under the wall clock a whole micro-batch has one time.
     """
 
     def shrink(batches):
@@ -142,7 +136,7 @@ def score_stream(
     return (
         rows.withWatermark("arrival_ts", delay)
         .groupBy("creation_id")
-        .transformWithStateInPandas(
+        .transformWithState(
             ScoreKeeper(rate, None if state_ttl is None else millis(state_ttl)),
             outputStructType=_SCORED,
             outputMode="Append",
