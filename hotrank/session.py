@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -63,3 +64,14 @@ def as_table(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     folder = fresh_folder(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(folder)
     return df.sparkSession.read.parquet(folder)
+
+
+def send_by_value() -> None:
+    """Lets tasks that run Python take this package's functions along.
+
+    Python workers start without the package, and so does the process that prepares stateful
+    operators, which does not see files added to the session either.
+    """
+    import hotrank
+
+    cloudpickle.register_pickle_by_value(hotrank)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hotrank.functions.text import member_text, ranking_key
 from hotrank.operators.leaderboard import BOARD_SIZE, empty_board, fold_windows
 from hotrank.schemas import BOARD, BOARD_COLUMNS
+from hotrank.session import send_by_value
 
 
 class BoardTable:
@@ -107,6 +108,7 @@ def write_sorted_sets(
         finally:
             client.close()
 
+    send_by_value()
     (
         batch.filter(F.col("category").isNotNull())
         .select(

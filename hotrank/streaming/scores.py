@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from hotrank.functions.decay import LONG_MIN, action_weight, decay_rate, millis
 from hotrank.operators.windows import windowed_scores
 from hotrank.schemas import ARRIVAL_ORDER, SCORE_COLUMNS
+from hotrank.session import send_by_value
 from hotrank.streaming.fold import STRETCH, follow, stretches
 
 _STATE = "category string, score double, last_ts bigint"
@@ -128,6 +129,7 @@ def score_stream(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    send_by_value()
     rows = stream_timeline(creations, actions)
     if combine:
         rows = combine_in_tasks(rows, rate)
