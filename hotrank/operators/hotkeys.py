@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from hotrank.session import as_table, checkpointed
 
-SEGMENT_ROWS = 2_000_000
-# Bound on the number of segments, and with it on the broadcast list of hot keys. Beyond it the
-# threshold rises: fewer keys count as hot, and segments grow.
+# A window over this many rows is still one task of about a minute.
+SEGMENT_ROWS = 5_000_000
+# Bound on the number of segments, and with it on hot keys: both lists are broadcast, at most
+# this many keys and twice as many pairs of key and segment. Beyond it the threshold rises, so
+# fewer keys count as hot and segments grow.
 MAX_SEGMENTS = 10_000
 
 
