@@ -15,7 +15,7 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hotrank.session import as_table, checkpointed
+from hotrank.session import as_table, checkpointed, fresh_folder
 
 # A window over this many rows is still one task of about a minute.
 SEGMENT_ROWS = 5_000_000
@@ -66,4 +66,5 @@ def split_hot_keys(
         .repartitionByRange(ceil(n_rows / limit), key, *order)
         .withColumn("segment", F.spark_partition_id())
     )
-    return Split(df.join(keys, key, "left_anti"), as_table(hot, "hot-keys"))
+    hot = as_table(hot, fresh_folder(df.sparkSession, "hot-keys"))
+    return Split(df.join(keys, key, "left_anti"), hot)

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from hotrank.functions.text import member_text
 from hotrank.schemas import BOARD, BOARD_COLUMNS
-from hotrank.session import checkpointed
+from hotrank.session import as_table, checkpointed
 
 BOARD_SIZE = 100
-_STEPS_PER_CHECKPOINT = 2
 # Up to this many places the planner itself cuts each task's rows before the shuffle.
 _PLANNER_LIMIT = 1000
 _SHARES = 64
@@ -76,16 +75,30 @@ def leaderboard_update(board: DataFrame, batch: DataFrame, n: int = BOARD_SIZE)
     return top_n(merged, n).select(*BOARD_COLUMNS)
 
 
+def by_window(windows: DataFrame, folder: str) -> DataFrame:
+    """``windows`` laid out in ``folder`` by their end.
+
+    Rebalanced: few files per window, yet a window with most of the rows is still split.
+    """
+    rows = windows.filter(F.col("category").isNotNull()).hint("rebalance", "window_end")
+    return as_table(rows, folder, "window_end")
+
+
+def window_ends(windows: DataFrame) -> list[int]:
+    return sorted(r[0] for r in windows.select("window_end").distinct().collect())
+
+
 def fold_windows(
     board: DataFrame, windows: DataFrame, ends: list[int], n: int = BOARD_SIZE
 ) -> DataFrame:
-    """Board after several windows, written in the order of ``ends``.
+    """Board after the windows that end at ``ends`` were written to it, one after the other.
 
-    Each step depends on the trim of the one before. The board is small, at most ``n`` rows per
-    category, and is checkpointed every few steps to keep plans short.
+    The trim makes every step depend on the one before, so this is a fold over windows, which
+    had better be laid out by their end. The board carried along has at most ``n`` rows per
+    category and is checkpointed every time.
     """
-    for step, end in enumerate(ends, start=1):
+    for place, end in enumerate(ends, start=1):
         board = leaderboard_update(board, windows.filter(F.col("window_end") == end), n)
-        if step % _STEPS_PER_CHECKPOINT == 0 and step < len(ends):
+        if place < len(ends):
             board = checkpointed(board)
     return board

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from hotrank.operators import actions as split
 from hotrank.operators.creations import latest_creations
 from hotrank.operators.hotkeys import SEGMENT_ROWS
-from hotrank.operators.leaderboard import BOARD_SIZE, empty_board, fold_windows, hot_top
+from hotrank.operators.leaderboard import (
+    BOARD_SIZE,
+    by_window,
+    empty_board,
+    fold_windows,
+    hot_top,
+    window_ends,
+)
 from hotrank.operators.scoring import score_timeline
 from hotrank.operators.windows import (
     decay_to_window_end,
@@ -18,7 +25,7 @@ from hotrank.operators.windows import (
     windowed_scores,
 )
 from hotrank.options import RankingOptions
-from hotrank.session import as_table
+from hotrank.session import fresh_folder
 from hotrank.sources import decode, kafka
 
 
@@ -53,19 +60,10 @@ def windowed_event_time(
 
 
 def replay_board(windows: DataFrame, n: int = BOARD_SIZE) -> DataFrame:
-    """Board after all windows were written to it, oldest first.
-
-    The trim makes every step depend on the one before, so this is a fold over windows: each
-    step reads only its own window from a table in the shared folder and carries on a board of
-    at most ``n`` rows per category.
-    """
+    """Board after all windows were written to an empty one, oldest first."""
     spark = windows.sparkSession
-    # Rebalanced: few files per window, yet a window with most of the rows is still split.
-    rows = windows.filter(F.col("category").isNotNull()).hint("rebalance", "window_end")
-    written = as_table(rows, "windows", "window_end")
-    written = written.withColumn("window_end", F.col("window_end").cast("long"))
-    ends = [r[0] for r in written.select("window_end").distinct().collect()]
-    return fold_windows(empty_board(spark), written, sorted(ends), n)
+    table = by_window(windows, fresh_folder(spark, "windows"))
+    return fold_windows(empty_board(spark), table, window_ends(table), n)
 
 
 def bounded_ranking(

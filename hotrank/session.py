@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,22 @@ def session(app: str = "hotrank", master: str | None = None, **conf: str) -> Spa
     return builder.getOrCreate()
 
 
+@contextmanager
+def adaptive(spark: SparkSession):
+    """Adaptive execution for batch work inside a stream, where Spark turns it off.
+
+    Without it every small shuffle of a micro-batch's follow-up runs as many tasks as the
+    stream has state partitions. The stream's own plans are made outside and stay without.
+    """
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -59,11 +76,10 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4()}"
 
 
-def as_table(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """``df`` written as Parquet below the shared folder, and read back from there."""
-    folder = fresh_folder(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(folder)
-    return df.sparkSession.read.parquet(folder)
+def as_table(df: DataFrame, folder: str, *partition_by: str) -> DataFrame:
+    """``df`` written to ``folder`` as Parquet, and read back from there."""
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def send_by_value() -> None:

@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hotrank.functions.text import member_text, ranking_key
-from hotrank.operators.leaderboard import BOARD_SIZE, empty_board, fold_windows
+from hotrank.operators.leaderboard import (
+    BOARD_SIZE,
+    by_window,
+    empty_board,
+    fold_windows,
+    window_ends,
+)
 from hotrank.schemas import BOARD, BOARD_COLUMNS
-from hotrank.session import send_by_value
+from hotrank.session import adaptive, send_by_value
 
 
 class BoardTable:
@@ -58,19 +64,29 @@ class BoardTable:
         return spark.read.schema(BOARD).parquet(self._version(usable[-1]))
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            self._write_batch(batch, batch_id)
+
+    def _write_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ends = [r[0] for r in batch.select("window_end").distinct().collect()]
+        ends = window_ends(batch)
         if not ends:
             return
-        board = fold_windows(self.read(spark, before=batch_id), batch, sorted(ends), self.n)
+        staging = f"{self.path}/_staging"
+        if len(ends) > 1:
+            batch = by_window(batch, staging)
+        board = fold_windows(self.read(spark, before=batch_id), batch, ends, self.n)
         board.select(*BOARD_COLUMNS).write.mode("overwrite").parquet(self._version(batch_id))
+        self._delete(spark, staging)
         self._forget(spark, batch_id)
 
     def _forget(self, spark: SparkSession, batch_id: int) -> None:
-        fs, _ = self._filesystem(spark)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         for old in [v for v in self.versions(spark) if v < batch_id][: -self.keep]:
-            fs.delete(path(self._version(old)), True)
+            self._delete(spark, self._version(old))
+
+    def _delete(self, spark: SparkSession, folder: str) -> None:
+        fs, _ = self._filesystem(spark)
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder), True)
 
 
 def redis_client(uri: str):
@@ -109,15 +125,16 @@ def write_sorted_sets(
             client.close()
 
     send_by_value()
-    (
-        batch.filter(F.col("category").isNotNull())
-        .select(
-            ranking_key(F.col("category")).alias("key"),
-            member_text(F.col("creation_id")).alias("member"),
-            "score",
-            "window_end",
+    with adaptive(batch.sparkSession):
+        (
+            batch.filter(F.col("category").isNotNull())
+            .select(
+                ranking_key(F.col("category")).alias("key"),
+                member_text(F.col("creation_id")).alias("member"),
+                "score",
+                "window_end",
+            )
+            .repartition("member")
+            .sortWithinPartitions("window_end", "key")
+            .foreachPartition(write)
         )
-        .repartition("member")
-        .sortWithinPartitions("window_end", "key")
-        .foreachPartition(write)
-    )

@@ -71,9 +71,8 @@ def held(board):
 
 def after(spark, writes, n):
     """Board after one window per write."""
-    ends = list(range(1, len(writes) + 1))
-    df = rows(spark, *[(c, m, s, end) for end, (c, m, s) in zip(ends, writes)])
-    return leaderboard.fold_windows(leaderboard.empty_board(spark), df, ends, n)
+    df = rows(spark, *[(c, m, s, end) for end, (c, m, s) in enumerate(writes, start=1)])
+    return ranking.replay_board(df, n)
 
 
 BOARDS = [
