@@ -10,6 +10,7 @@ from hotrank.schemas import BOARD, BOARD_COLUMNS
 from hotrank.session import as_table, checkpointed
 
 BOARD_SIZE = 100
+_STEPS_PER_CHECKPOINT = 3
 # Up to this many places the planner itself cuts each task's rows before the shuffle.
 _PLANNER_LIMIT = 1000
 _SHARES = 64
@@ -95,10 +96,10 @@ def fold_windows(
 
     The trim makes every step depend on the one before, so this is a fold over windows, which
     had better be laid out by their end. The board carried along has at most ``n`` rows per
-    category and is checkpointed every time.
+    category and is checkpointed every few steps.
     """
     for place, end in enumerate(ends, start=1):
         board = leaderboard_update(board, windows.filter(F.col("window_end") == end), n)
-        if place < len(ends):
+        if place % _STEPS_PER_CHECKPOINT == 0 and place < len(ends):
             board = checkpointed(board)
     return board
