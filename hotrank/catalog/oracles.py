@@ -55,7 +55,7 @@ SELECT p_partkey AS creation_id, p_type AS category,
        epoch_us(TIMESTAMP '{first}') AS arrival_us, p_partkey AS arrival_seq FROM part
 UNION ALL
 SELECT p_partkey, p_brand, epoch_us(TIMESTAMP '{again}'), p_partkey
-FROM part WHERE p_partkey % 2 = 0"""
+FROM part WHERE p_size > 25"""
 
 
 EVENT_VERSIONS = _versions("2024-01-03", "2024-01-15")
@@ -267,7 +267,7 @@ QUALIFY row_number() OVER (PARTITION BY creation_id ORDER BY arrival_us DESC) =
     ),
     "enrich_latest": f"""
 SELECT a.user_id, a.action_type, a.creation_id, a.action_ts,
-       CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE p_type END AS category
+       CASE WHEN p_size > 25 THEN p_brand ELSE p_type END AS category
 FROM ({_line_actions()}) a JOIN part ON p_partkey = a.creation_id""",
     "running_score_event_order": _select(
         _cte("actions", _line_actions()),

@@ -48,11 +48,11 @@ def _uncategorised_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _line_versions(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts that arrive one day into the order-key clock, even keys again on the fifth."""
+    """Parts that arrive one day into the order-key clock, big ones again on the fifth."""
     parts = tables.read(spark, sf, "part")
     first = tables.creations_of(parts, "p_type", "1998-01-02 00:00:00")
-    even = parts.filter("p_partkey % 2 = 0")
-    return first.unionByName(tables.creations_of(even, "p_brand", "1998-01-05 00:00:00"))
+    big = parts.filter(tables.BIG)
+    return first.unionByName(tables.creations_of(big, "p_brand", "1998-01-05 00:00:00"))
 
 
 # --- decoding and splitting ---------------------------------------------------------------
@@ -277,8 +277,8 @@ def _table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def _event_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
     parts = _table_stream(spark, sf, "part")
     first = tables.creations_of(parts, "p_type", "2024-01-03 00:00:00")
-    even = parts.filter("p_partkey % 2 = 0")
-    again = tables.creations_of(even, "p_brand", "2024-01-15 00:00:00")
+    big = parts.filter(tables.BIG)
+    again = tables.creations_of(big, "p_brand", "2024-01-15 00:00:00")
     # Arrivals far ahead, so the last windows close.
     far = F.lit("2100-01-01 00:00:00").cast("timestamp")
     scored = score_stream(

@@ -20,6 +20,7 @@ from hotrank.functions.decay import action_weight, decay, decay_rate, elapsed
 from hotrank.operators.creations import as_of_segments, as_of_whole, timeline
 from hotrank.operators.hotkeys import SEGMENT_ROWS, split_hot_keys
 from hotrank.schemas import ARRIVAL_ORDER, EVENT_ORDER
+from hotrank.session import as_table, fresh_folder
 
 # Exponents are kept within this range, so exp() neither overflows nor loses digits. What lies
 # more than one chunk back has shrunk by at least exp(-CHUNK_EXPONENT).
@@ -191,6 +192,9 @@ def score_timeline(
         if order == ARRIVAL_ORDER:
             hot = score_segments(hot, order, rate)
         else:
-            hot = running_score(hot.drop("segment"), half_life, order_by, segment_rows)
+            # Read several times when it is cut again.
+            folder = fresh_folder(rows.sparkSession, "hot-enriched")
+            hot = as_table(hot.drop("segment"), folder)
+            hot = running_score(hot, half_life, order_by, segment_rows)
         out = out.unionByName(hot)
     return out

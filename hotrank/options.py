@@ -38,7 +38,7 @@ class KafkaSourceOptions:
     group_id: str
     auto_offset_reset: str = "latest"
     start_from_earliest: bool = False
-    client_id_prefix: str = "trending-flink"
+    client_id_prefix: str = "hotrank"
     partition_discovery_interval: timedelta = timedelta(minutes=1)
     bounded: bool = False
     security_protocol: str = "PLAINTEXT"

@@ -58,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         folder = tempfile.mkdtemp(prefix="hotrank-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -12,6 +12,10 @@ EVENT_TYPES = {"view": 1, "click": 2, "signup": 3, "purchase": 4, "error": 5}
 BEGINNING = "1970-01-01 00:00:00"
 
 
+# Parts that get a second version.
+BIG = "p_size > 25"
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     # Table timestamps carry no zone; they mean UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -77,8 +81,8 @@ def part_creations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def part_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """Two versions: every part on 2024-01-03, even keys again on 2024-01-15 by brand."""
+    """Two versions: every part on 2024-01-03, big ones again on 2024-01-15 by brand."""
     parts = read(spark, folder, "part")
     first = creations_of(parts, "p_type", "2024-01-03 00:00:00")
-    again = creations_of(parts.filter("p_partkey % 2 = 0"), "p_brand", "2024-01-15 00:00:00")
+    again = creations_of(parts.filter(BIG), "p_brand", "2024-01-15 00:00:00")
     return first.unionByName(again)

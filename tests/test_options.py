@@ -55,7 +55,7 @@ def test_reader_options():
     assert found["startingOffsets"] == "latest"
     assert found["kafka.bootstrap.servers"] == "broker:9092"
     assert found["kafka.group.id"] == "group"
-    assert found["kafka.client.id"] == "trending-flink"
+    assert found["kafka.client.id"] == "hotrank"
     assert found["kafka.security.protocol"] == "PLAINTEXT"
     assert "endingOffsets" not in found
 

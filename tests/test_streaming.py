@@ -265,3 +265,109 @@ def test_ttl_is_optional(spark, tmp_path):
 
 def test_empty_board(spark):
     assert leaderboard.empty_board(spark).count() == 0
+
+
+# --- the whole job on rows of Kafka's shape -----------------------------------------------
+
+
+def message(**fields):
+    import json
+
+    return bytearray(json.dumps(fields).encode())
+
+
+def kafka_files(spark, folder, made, done):
+    """Raw topics as files; two actions a message."""
+    from hotrank.schemas import RAW
+
+    creations = [
+        (message(creationId=k, category=c), "creations", 0, seq, ts)
+        for k, _, c, _, ts, seq in made
+    ]
+    batches = [
+        (
+            message(
+                actionTypeList=",".join(str(r[1]) for r in pair),
+                creationIdList=",".join(str(r[2]) for r in pair),
+                timestampList=",".join(str(r[3]) for r in pair),
+                userId=1,
+            ),
+            "actions", 0, i, pair[-1][4],
+        )
+        for i, pair in enumerate(chunks(done, len(done) // 2))
+    ]
+    for name, rows in (("creations", creations), ("actions", batches)):
+        df = spark.createDataFrame(rows, RAW)
+        df.coalesce(1).write.parquet(str(folder / name))
+
+    def read_stream(spark, options):
+        return spark.readStream.schema(RAW).parquet(str(folder / options.topics[0]))
+
+    def read_batch(spark, options):
+        return spark.read.schema(RAW).parquet(str(folder / options.topics[0]))
+
+    return read_stream, read_batch
+
+
+def kafka_options(bounded, **more):
+    sources = [
+        KafkaSourceOptions("b:1", [t], "g", start_from_earliest=True, bounded=bounded)
+        for t in ("creations", "actions")
+    ]
+    return RankingOptions(*sources, score_half_life=HALF_LIFE, window_half_life=HALF_LIFE, **more)
+
+
+def test_bounded_job_in_broker_time(spark, tmp_path, monkeypatch):
+    made, done = history()
+    read_stream, read_batch = kafka_files(spark, tmp_path, made, done)
+    monkeypatch.setattr(pipeline.kafka, "read_stream", read_stream)
+    monkeypatch.setattr(ranking.kafka, "read_batch", read_batch)
+    options = kafka_options(True, window_size=SIZE, board_size=2)
+    board_path = str(tmp_path / "board")
+    query = pipeline.build_pipeline(
+        spark, options, board_path, str(tmp_path / "checkpoint"), clock="kafka"
+    )
+    query.awaitTermination()
+    found = BoardTable(board_path, 2).read(spark)
+
+    # A batch message arrives as a whole, so both of its actions do at its time.
+    arrived = [
+        (*a[:4], pair[-1][4], i, pos)
+        for i, pair in enumerate(chunks(done, len(done) // 2)) for pos, a in enumerate(pair)
+    ]
+    rows = in_batch(spark, made, arrived)
+    last_open = max(a[4] for a in arrived)
+    closed = rows.filter(F.col("window_end") <= F.unix_millis(F.lit(last_open)))
+    expected = ranking.replay_board(closed, 2)
+    wanted = {(r.category, r.creation_id): r.score for r in expected.collect()}
+    assert {(r.category, r.creation_id): r.score for r in found.collect()} == pytest.approx(wanted)
+
+    top = ranking.bounded_ranking(spark, options, str(tmp_path / "tables"))
+    best = {(r.category, r.creation_id): r.score for r in top.collect()}
+    stateless = {(r.category, r.creation_id): r.score
+                 for r in leaderboard.hot_top(rows, 2).collect()}
+    assert best == pytest.approx(stateless)
+
+
+def test_live_job_closes_windows_on_quiet_topics(spark, tmp_path, monkeypatch):
+    import time
+
+    made, done = history()
+    read_stream, _ = kafka_files(spark, tmp_path, made, done)
+    monkeypatch.setattr(pipeline.kafka, "read_stream", read_stream)
+    options = kafka_options(
+        False, window_size=timedelta(seconds=2), trigger_interval=timedelta(seconds=1)
+    )
+    board = BoardTable(str(tmp_path / "board"))
+    query = pipeline.build_pipeline(spark, options, board.path, str(tmp_path / "checkpoint"))
+    try:
+        until = time.time() + 90
+        while not board.versions(spark) and time.time() < until:
+            assert query.exception() is None
+            time.sleep(1)
+    finally:
+        query.stop()
+    found = board.read(spark).collect()
+    # All creations precede all actions, in their newest version.
+    assert {(r.category, r.creation_id) for r in found} == {(f"d{k % 2}", k) for k in range(6)}
+    assert scores.dropped_rows(query) == 0
