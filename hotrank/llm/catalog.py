@@ -60,18 +60,18 @@ _SUBSTRINGS = r"""
 WITH d AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), s AS (
-    SELECT doc_id, at, md5(array_to_string(w[at : at + 19], ' ')) AS h
-    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS at FROM d WHERE len(w) >= 20)
+    SELECT doc_id, i, md5(array_to_string(w[i : i + 19], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)
 ), later AS (
-    SELECT doc_id, at FROM s
-    QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, at) > 1
+    SELECT doc_id, i FROM s
+    QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1
 ), gone AS (
-    SELECT DISTINCT doc_id, unnest(range(at, at + 20)) AS at FROM later
+    SELECT DISTINCT doc_id, unnest(range(at, at + 20)) AS i FROM later
 ), words AS (
-    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM d
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
 ), kept AS (
-    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY at) AS text
-    FROM words ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+    FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
 )
 SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
        sha256(coalesce(text, '')) AS kept_sha256
