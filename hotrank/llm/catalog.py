@@ -66,7 +66,7 @@ WITH d AS (
     SELECT doc_id, i FROM s
     QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1
 ), gone AS (
-    SELECT DISTINCT doc_id, unnest(range(at, at + 20)) AS i FROM later
+    SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later
 ), words AS (
     SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
 ), kept AS (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,32 @@ def small(batches: Iterator[pa.RecordBatch], size: int = 32 << 20) -> Iterator[p
             yield batch.slice(start, step)
 
 
+def pack(text: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(text)
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    """The texts of a packed column."""
+    read = zstandard.ZstdDecompressor()
+    return [read.decompress(x) if x else b"" for x in column.to_pylist()]
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """``df`` with its texts compressed one by one, for shuffles; null texts become empty ones."""
+    kept = [c for c in df.columns if c != "text"]
+    out = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in kept)
+
+    def run(batches):
+        for batch in small(batches):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in kept]
+                + [pa.array([pack(x) for x in texts(batch.column("text"))], pa.binary())],
+                names=[*kept, "text"],
+            )
+
+    return df.mapInArrow(run, f"{out}, text binary")
+
+
 def per_text(
     df: DataFrame, schema: str, make: Callable[[], Callable[[bytes], tuple]]
 ) -> DataFrame:

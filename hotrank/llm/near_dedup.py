@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hotrank.llm.common import LOWER, pick, read, small, texts
+from hotrank.llm.common import LOWER, packed, pick, read, small, texts, unpacked
 from hotrank.llm.hashing import mixed, runs, word_hashes
 from hotrank.session import as_table, fresh_folder
 
@@ -95,7 +95,7 @@ def _confirm(size: int, percent: int):
     def run(batches):
         for batch in small(batches):
             keep = []
-            for a, b in zip(texts(batch.column("text_x")), texts(batch.column("text_y"))):
+            for a, b in zip(unpacked(batch.column("text_x")), unpacked(batch.column("text_y"))):
                 a, b = shingles(a, size), shingles(b, size)
                 same = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * same >= percent * (len(a) + len(b) - same) and same > 0)
@@ -192,7 +192,7 @@ def near_components(
         )
         pairs = table(pairs, f"pairs-{name}")
         asked = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-        whole = table(rows.join(asked, "doc_id"), f"texts-{name}")
+        whole = table(packed(rows).join(asked, "doc_id"), f"texts-{name}")
         return table(
             pairs.join(whole.toDF("x", "text_x"), "x").join(whole.toDF("y", "text_y"), "y")
             .select("x", "y", "text_x", "text_y").mapInArrow(

@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hotrank.llm.common import pick, read, small, texts
+from hotrank.llm.common import pack, packed, pick, read, small, texts, unpacked
 from hotrank.llm.hashing import runs, stretches, word_hashes
 from hotrank.session import as_table, fresh_folder
 
 #: Words of a node.
-NODE = 5
+NODE = 8
 _NO_ID = -(1 << 63)
 
 
@@ -125,7 +125,7 @@ def _settle(window: int, digest: bool):
         for batch in small(batches, 8 << 20):
             out = []
             columns = [batch.column(c).to_pylist() for c in ("doc", "txt", "edges", "nodes")]
-            for text, doc, txt, edges, nodes in zip(texts(batch.column("text")), *columns):
+            for text, doc, txt, edges, nodes in zip(unpacked(batch.column("text")), *columns):
                 words = text.split()
                 n = len(words)
                 if n < window or not nodes:
@@ -152,7 +152,7 @@ def _settle(window: int, digest: bool):
                                 [], [], []))
                     continue
                 a, b = (runs(hashes, window, seed)[left].view(np.int64) for seed in (3, 4))
-                out.append((doc, txt, n, None, None, text, np.packbits(earlier).tobytes(),
+                out.append((doc, txt, n, None, None, pack(text), np.packbits(earlier).tobytes(),
                             left, a, b))
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(),
                      pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()),
@@ -183,7 +183,7 @@ def _finish(window: int, digest: bool):
         for batch in small(batches, 8 << 20):
             out = []
             columns = [batch.column(c).to_pylist() for c in ("doc", "txt", "earlier", "later")]
-            for text, doc, txt, bits, later in zip(texts(batch.column("text")), *columns):
+            for text, doc, txt, bits, later in zip(unpacked(batch.column("text")), *columns):
                 words = text.split()
                 n = len(words) - window + 1
                 earlier = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
@@ -208,7 +208,7 @@ def remove_repeats(
     A window is ``window`` consecutive words; a word goes when a window over it stands earlier
     (smaller id, or same document and earlier start). Windows are judged on the input.
 
-    Nodes of the graph are 5-word runs, sampled so that every window holds the node it chose;
+    Nodes of the graph are 8-word runs, sampled so that every window holds the node it chose;
     edges are the stretches from node to node. Nodes that occur once rule their windows out.
     Repeated edges are joined with their count and first place. Each text then compacts its
     unbranched paths and compares coordinates along them; only windows at branchings are counted
@@ -217,20 +217,20 @@ def remove_repeats(
 
     Null, empty and blank texts: no words, nothing kept. Texts shorter than a window stay.
     Equal rows share their coordinates and are judged alike; different texts of one id are
-    ordered by a hash of the text. Null ids come first. One row per row of ``docs``, kept words
+    ordered and told apart by 16 bits of a hash. Null ids come first. One row per row of ``docs``, kept words
     joined by one blank; with ``digest``, their SHA-256 instead.
     """
     spark = docs.sparkSession
     rows = pick(docs, doc_id=id_col, text=text_col).select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"),
-        F.xxhash64("text").alias("txt"), "text")
+        F.pmod(F.xxhash64("text"), F.lit(1 << 16)).alias("txt"), "text")
 
     def table(df: DataFrame, name: str) -> DataFrame:
         return as_table(df, fresh_folder(spark, f"substring-{name}"))
 
-    graph = table(rows.mapInArrow(
+    graph = rows.mapInArrow(
         _graph(window),
-        "doc long, txt long, node long, at int, until int, edge long, way_in long"), "graph")
+        "doc long, txt long, node long, at int, until int, edge long, way_in long")
     repeated = table(
         graph.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "nodes")
     shared = table(graph.join(repeated, "node").drop("node"), "shared")
@@ -248,7 +248,7 @@ def remove_repeats(
         F.collect_list(F.struct("at", "n")).alias("nodes"))
     key = ["doc", "txt"]
     judged = table(
-        rows.join(by_text, key, "left").join(node_lists, key, "left")
+        packed(rows).join(by_text, key, "left").join(node_lists, key, "left")
         .mapInArrow(
             _settle(window, digest),
             "doc long, txt long, n_words long, n_removed long, kept string, text binary, "
