@@ -57,12 +57,12 @@ def runs(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     return mixed(found)
 
 
-def stretches(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Hash of the words from each start to before each end."""
+def stretches(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, kinds) -> np.ndarray:
+    """Hash of the words from each start to before each end, and of the stretch's kind."""
     powers, back = _grown(len(words) + 1)
     sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(mixed(words + np.uint64(seed)) * powers[: len(words)], out=sums[1:])
+    np.cumsum(words * powers[: len(words)], out=sums[1:])
     return mixed(
         (sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _STEP
-        + np.uint64(seed)
+        + np.asarray(kinds, np.uint64) * _BASE
     )

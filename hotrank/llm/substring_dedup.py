@@ -31,7 +31,22 @@ def anchors(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.
         return nodes, np.zeros(0, np.int64), np.zeros(0, np.int64)
     chosen = np.lib.stride_tricks.sliding_window_view(nodes, width).argmin(1)
     chosen = chosen + np.arange(len(chosen))
-    return nodes, chosen, np.unique(chosen)
+    return nodes, chosen, chosen[np.append(True, chosen[1:] != chosen[:-1])]
+
+
+def _nodes(window: int):
+    """Nodes of all texts, one row per place."""
+
+    def run(batches):
+        for batch in small(batches, 8 << 20):
+            found = [np.zeros(0, np.uint64)]
+            for text in texts(batch.column("text")):
+                nodes, _, at = anchors(word_hashes(text), window)
+                found.append(nodes[at])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(found).view(np.int64))], names=["node"])
+
+    return run
 
 
 def _graph(window: int):
@@ -46,13 +61,14 @@ def _graph(window: int):
                 if not len(at):
                     continue
                 to = np.append(at[1:] + NODE, len(words))
-                edges = stretches(words, at, to)
                 # The ways in and out of a text are edges of kinds of their own.
-                edges[-1] = stretches(words, at[-1:], to[-1:], seed=2)[0]
+                kinds = np.zeros(len(at) + 1, np.int64)
+                kinds[-2:] = 2, 1
+                edges = stretches(words, np.append(at, 0), np.append(to, at[0] + NODE), kinds)
                 way_in = np.zeros(len(at), np.uint64)
-                way_in[0] = stretches(words, np.array([0]), at[:1] + NODE, seed=1)[0]
+                way_in[0] = edges[-1]
                 of.append(np.full(len(at), i))
-                parts.append((nodes[at], at, to, edges, way_in))
+                parts.append((nodes[at], at, to, edges[:-1], way_in))
             if not of:
                 continue
             rows = pa.array(np.concatenate(of))
@@ -143,8 +159,8 @@ def _settle(window: int, digest: bool):
                 windows, settled = np.arange(len(chosen)), np.zeros(len(chosen), bool)
                 for start, end, inner in paths:
                     span = slice(start, max(start, end - window + 1))
-                    settled[span] |= np.isin(chosen[span], inner)
-                open_ = np.isin(chosen, list(counts)) & ~earlier & ~settled
+                    settled[span] |= _places(inner, n)[chosen[span]]
+                open_ = _places(list(counts), n)[chosen] & ~earlier & ~settled
                 left = windows[open_]
                 if not len(left):
                     mask = covered(windows[earlier], n, window)
@@ -166,6 +182,12 @@ def _settle(window: int, digest: bool):
     return run
 
 
+def _places(at: list[int], n: int) -> np.ndarray:
+    mask = np.zeros(n, bool)
+    mask[at] = True
+    return mask
+
+
 def covered(starts: np.ndarray, n_words: int, window: int) -> np.ndarray:
     steps = np.zeros(n_words + 1, np.int64)
     np.add.at(steps, starts, 1)
@@ -232,7 +254,7 @@ def remove_repeats(
         _graph(window),
         "doc long, txt long, node long, at int, until int, edge long, way_in long")
     repeated = table(
-        graph.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "nodes")
+        rows.select("text").mapInArrow(_nodes(window), "node long").groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "nodes")
     shared = table(graph.join(repeated, "node").drop("node"), "shared")
     edges = shared.select("doc", "txt", F.col("at").alias("a"), F.col("until").alias("b"), "edge")
     edges = edges.unionAll(shared.where("way_in is not null").select(
