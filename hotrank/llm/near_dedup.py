@@ -21,6 +21,8 @@ ROWS = 4
 #: Pairs whose signatures agree in less than this share are not compared in full. Four standard
 #: deviations below a similarity of 0.8.
 PLAUSIBLE = 0.66
+#: Buckets of more classes than this are compared in blocks of ``_BLOCK`` classes, inside tasks.
+CROWD, _BLOCK = 16, 512
 _RANDOM = np.random.default_rng(64)
 _FACTORS = (_RANDOM.integers(0, 1 << 63, PERMUTATIONS, np.uint64) << np.uint64(1)) | np.uint64(1)
 _SHIFTS = _RANDOM.integers(0, 1 << 64, PERMUTATIONS, np.uint64)
@@ -106,6 +108,42 @@ def _confirm(size: int, percent: int):
     return run
 
 
+def _sets(size: int):
+    def run(batches):
+        for batch in small(batches):
+            found = [shingles(x, size).tobytes() for x in unpacked(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(found, pa.binary())], names=["class", "set"])
+
+    return run
+
+
+def _links_of_block(percent: int):
+    """Links across components among the classes of one or two blocks of a bucket."""
+
+    def compare(table):
+        table = table.sort_by("class")
+        classes, roots = table["class"].to_numpy(), table["root"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in table["set"].to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        owners = np.repeat(np.arange(len(sets)), sizes)
+        values, held = np.unique(np.concatenate(sets), return_inverse=True)
+        same = np.zeros((len(sets), len(sets)), np.float32)
+        order = np.argsort(held, kind="stable")
+        owners, held = owners[order], held[order]
+        for start in range(0, len(values), 4096):
+            a, b = np.searchsorted(held, (start, start + 4096))
+            part = np.zeros((len(sets), 4096), np.float32)
+            part[owners[a:b], held[a:b] - start] = 1
+            same += part @ part.T
+        same = same.astype(np.int64)
+        linked = 100 * same >= percent * (sizes[:, None] + sizes[None] - same)
+        x, y = np.nonzero(np.triu(linked & (roots[:, None] != roots[None]), 1))
+        return pa.table({"x": pa.array(classes[x]), "y": pa.array(classes[y])})
+
+    return compare
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root``: the smallest node each node of the links ``x, y`` is connected with.
 
@@ -151,8 +189,9 @@ def near_components(
     keeps the minimum and maximum under each permutation, and bands of it deal classes to
     buckets. First every class is compared with the bucket's smallest and largest; then, among
     classes of a bucket not yet connected, with every one of similar size. Candidates pass by
-    signature and are confirmed on the full sets. So no pair within a connected group is
-    listed twice over, however large the group, and no bucket is cut.
+    signature and are confirmed on the full sets. In crowded buckets that last step compares
+    blocks of full sets inside tasks and gives links only, so that pairs within a group are
+    never listed, however large the group, and no bucket is cut.
 
     Null, empty and blank texts have no set and link with nothing. Equal rows fall into one
     class; rows of equal id count as one document. Null ids are treated as the smallest id, and
@@ -205,15 +244,34 @@ def near_components(
     placed = members.join(roots, members["class"] == roots["node"], "left").select(
         "bucket", "class", "n_shingles", F.coalesce("root", "class").alias("root"))
     torn = (
-        placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"))
-        .where("a <> b").select("bucket"))
+        placed.groupBy("bucket")
+        .agg(F.count("*").alias("n"), F.min("root").alias("a"), F.max("root").alias("b"))
+        .where("a <> b").select("bucket", "n"))
     placed = table(placed.join(torn, "bucket"), "placed")
-    other = placed.toDF("bucket", "y", "n_y", "root_y")
+    few = placed.where(F.col("n") <= CROWD).drop("n")
+    other = few.toDF("bucket", "y", "n_y", "root_y")
     similar = (F.col("n_shingles") * 100 >= F.col("n_y") * percent) & (
         F.col("n_y") * 100 >= F.col("n_shingles") * percent)
-    across = placed.join(other, "bucket").where(
+    across = few.join(other, "bucket").where(
         (F.col("class") < F.col("y")) & (F.col("root") != F.col("root_y")) & similar)
     more = confirmed(across.select(F.col("class").alias("x"), "y"), "across")
+    crowd = placed.where(F.col("n") > CROWD)
+    asked = crowd.select(F.col("class").alias("doc_id")).distinct()
+    sets = table(
+        packed(rows).join(asked, "doc_id").select("doc_id", "text")
+        .mapInArrow(_sets(size), "class long, set binary"), "sets"
+    ).dropDuplicates(["class"])
+    count = F.ceil(F.col("n") / _BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("class"), count).cast("int")
+    meets = F.explode(F.transform(
+        F.sequence(F.lit(0), count - 1),
+        lambda i: F.struct(F.least(i, own).alias("i"), F.greatest(i, own).alias("j"))))
+    crowded = table(
+        crowd.select("bucket", "class", "root", meets.alias("at")).join(sets, "class")
+        .select("bucket", "at.i", "at.j", "class", "root", "set")
+        .groupBy("bucket", "i", "j").applyInArrow(_links_of_block(percent), "x long, y long")
+        .distinct(), "links-crowd")
+    more = more.unionAll(crowded)
     if not more.isEmpty():
         roots = components(links.unionAll(more))
     found = of_class.select("doc_id", "n_shingles", "class").unionAll(
