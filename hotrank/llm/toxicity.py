@@ -17,9 +17,9 @@ from hotrank.session import as_table, fresh_folder
 #: Hash buckets of subwords.
 BUCKETS = 1 << 18
 #: At most so many labelled rows are learnt from, chosen by a hash of their id.
-SAMPLE = 12_000
+SAMPLE = 10_000
 #: At most so many subwords are embedded: those whose share differs most between the classes.
-FEATURES = 20_000
+FEATURES = 4_000
 SIZE = 8
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 #: Words a task remembers the score of.
@@ -70,7 +70,7 @@ def _bags(index: dict[int, int]):
     return bag
 
 
-def train(bags: list[tuple], toxic: np.ndarray, features: int, rounds=300, seed=0):
+def train(bags: list[tuple], toxic: np.ndarray, features: int, rounds=200, seed=0):
     """Embeddings and softmax fitted together by gradient descent with momentum.
 
     The classes weigh 2 to 1 for clean, whatever their sizes. Gives each feature's weight and the
@@ -79,20 +79,20 @@ def train(bags: list[tuple], toxic: np.ndarray, features: int, rounds=300, seed=
     rng = np.random.default_rng(seed)
     pointers = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in bags])])
     full = np.flatnonzero(np.diff(pointers))
-    ids = np.concatenate([ids for ids, _ in bags]).astype(np.int64)
+    ids = np.concatenate([ids for ids, _ in bags]).astype(np.int32)
     weights = np.concatenate([w for _, w in bags]).astype(np.float64)
     rows = np.repeat(np.arange(len(bags)), np.diff(pointers))
     # Features of one scale, so that one step size suits all corpora.
     scale = math.sqrt(np.square(weights).sum() / max(len(full), 1)) or 1.0
-    weights = weights / scale
-    table = rng.normal(0, 0.1, (features, SIZE))
-    softmax = rng.normal(0, 1 / math.sqrt(SIZE), (SIZE, 2))
-    bias = np.zeros(2)
+    weights = (weights / scale).astype(np.float32)
+    table = rng.normal(0, 0.1, (features, SIZE)).astype(np.float32)
+    softmax = rng.normal(0, 1 / math.sqrt(SIZE), (SIZE, 2)).astype(np.float32)
+    bias = np.zeros(2, np.float32)
     share = np.where(toxic == 1, 1 / max((toxic == 1).sum(), 1), 2 / max((toxic == 0).sum(), 1)) / 3
     wanted = np.stack([toxic == 0, toxic == 1], 1).astype(np.float64)
     moves = [np.zeros_like(x) for x in (table, softmax, bias)]
     for _ in range(rounds):
-        docs = np.zeros((len(bags), SIZE))
+        docs = np.zeros((len(bags), SIZE), np.float32)
         if len(full):
             docs[full] = np.add.reduceat(table[ids] * weights[:, None], pointers[full])
         logits = docs @ softmax + bias
@@ -160,7 +160,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]
     index = {b: i for i, b in enumerate(kept)}
     bags = (
         per_text(
-            chosen.select("doc_id", "toxic", "text"), "ids array<int>, weights array<double>",
+            chosen.select("doc_id", "toxic", "text"), "ids array<int>, weights array<float>",
             lambda: _bags(index),
         )
         .orderBy("doc_id")
