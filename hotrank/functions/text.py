@@ -31,7 +31,11 @@ def strict_long(text: Column) -> Column:
 
 def json_object(text: Column) -> Column:
     """JSON object as a map of texts; NULL when the text is not one JSON object."""
-    return F.from_json(text, "map<string,string>")
+    # As a list of one, since a reader of single objects overlooks what follows the first.
+    found = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>")
+    # Filtered rather than tested by a condition, which would name, hence parse, it twice.
+    single = F.filter(F.array(found), lambda records: F.size(records) == 1)
+    return F.get(F.get(single, F.lit(0)), F.lit(0))
 
 
 def plain_names(obj: Column) -> Column:

@@ -104,8 +104,11 @@ def bounded_ranking(
         rows.withColumn("sound", sound).write.mode("overwrite").partitionBy("sound").parquet(
             f"{output}/{name}"
         )
-        # The folder's name comes back as text.
-        tables[name] = spark.read.parquet(f"{output}/{name}").filter("sound = 'true'")
+        # The folder's name comes back as text. Empty topics leave no files to take types from.
+        schema = rows.withColumn("sound", F.lit("true")).schema
+        tables[name] = (
+            spark.read.schema(schema).parquet(f"{output}/{name}").filter("sound = 'true'")
+        )
     rows = windowed(
         tables["creations"],
         tables["actions"],

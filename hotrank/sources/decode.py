@@ -22,7 +22,7 @@ def _decode(raw: DataFrame, record: T.StructType, source: str) -> DataFrame:
     carried = [c for c in ("arrival_ts", "arrival_seq") if c in raw.columns]
     body = raw.select(F.col("value").cast("string").alias("raw"), *carried)
     # Empty messages and a literal null are no records at all.
-    body = body.filter(text.has_content(F.col("raw")) & (F.trim("raw") != "null"))
+    body = body.filter(text.has_content(F.col("raw")) & (F.btrim("raw", F.lit(" \t\r\n")) != "null"))
     body = body.select("*", text.once(text.json_object(F.col("raw"))).alias("_obj"))
     names = text.plain_names(F.col("_obj"))
     found = F.transform(

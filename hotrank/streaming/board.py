@@ -101,7 +101,7 @@ def write_sorted_sets(
 ) -> None:
     """Writes windowed scores to outside sorted sets ``hot:{category}``, trimmed to ``n``.
 
-    ``connect(uri)`` gives a client with ``zadd``, ``zcard``, ``zremrangebyrank`` and ``close``;
+    ``connect(uri)`` gives a client with ``zadd``, ``zremrangebyrank`` and ``close``;
     it is called once per task. A creation's windows are written in order; one window's rows of
     a category go out together and are trimmed once.
     """
@@ -118,9 +118,8 @@ def write_sorted_sets(
                         part = {}
                 if part:
                     client.zadd(key, part)
-                surplus = client.zcard(key) - n
-                if surplus > 0:
-                    client.zremrangebyrank(key, 0, surplus - 1)
+                # One atomic call: tasks that trim a set at once do not take members twice.
+                client.zremrangebyrank(key, 0, -(n + 1))
         finally:
             client.close()
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,10 +40,13 @@ def ranking_stream(
     delay: str = "0 seconds",
     combine: bool = False,
     ticks: DataFrame | None = None,
+    state_ttl: timedelta | int | None = None,
 ) -> DataFrame:
     """Windowed decayed scores of two raw streams."""
     made, done = decoded_inputs(creations_raw, actions_raw, options.on_malformed)
-    scored = score_stream(made, done, options.score_half_life, delay, combine, ticks=ticks)
+    scored = score_stream(
+        made, done, options.score_half_life, delay, combine, state_ttl, ticks=ticks
+    )
     return windowed_stream(scored, options.window_size, options.window_half_life)
 
 
@@ -79,16 +83,21 @@ def build_pipeline(
     board_path: str,
     checkpoint: str,
     clock: str = "processing",
-    delay: str = "0 seconds",
+    delay: str | None = None,
     connect: Callable | None = None,
+    state_ttl: timedelta | int | None = None,
 ) -> StreamingQuery:
     """Starts the job on Kafka.
 
     Under the wall clock (``clock="processing"``) nothing is late, and ticks close windows on
     quiet topics. ``clock="kafka"`` takes broker time, which repeats on a re-read, and needs a
-    ``delay``. Hot creations shrink before the shuffle. Both sources bounded: the job reads up to
+    ``delay``: rows that come later than it allows are dropped before they are scored. Hot creations shrink before the shuffle. Both sources bounded: the job reads up to
     the latest offsets and ends.
     """
+    if delay is None:
+        if clock != "processing":
+            raise ValueError("a clock taken from data needs a delay")
+        delay = "0 seconds"
     creation, action = options.creation_source, options.action_source
     if creation.bounded != action.bounded:
         raise ValueError("both sources are bounded or neither is")
@@ -104,6 +113,7 @@ def build_pipeline(
         delay,
         combine=True,
         ticks=heartbeat(spark) if live and not creation.bounded else None,
+        state_ttl=state_ttl,
     )
     board = BoardTable(board_path, options.board_size)
     return start(windows, board, checkpoint, options, connect, once=creation.bounded)

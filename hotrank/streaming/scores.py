@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ _SCORED = (
     "creation_id bigint, category string, score double, last_action_ts bigint, "
     "arrival_ts timestamp, arrival_seq bigint, pos bigint"
 )
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _SCORED_NAMES = ["creation_id", *SCORE_COLUMNS[1:], *ARRIVAL_ORDER]
 
 
@@ -26,7 +27,8 @@ class ScoreKeeper(StatefulProcessor):
     """Per creation: its latest version, its score and the time of its last action.
 
     Creations and actions share one state, which is what lets an action find its creation.
-    Nothing expires unless ``ttl_ms`` is set.
+    Nothing expires unless ``ttl_ms`` is set: then a creation is forgotten once the watermark is
+    that far past the last row that arrived for it.
     """
 
     def __init__(self, rate: float, ttl_ms: int | None = None):
@@ -34,19 +36,35 @@ class ScoreKeeper(StatefulProcessor):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("creation", _STATE, self.ttl_ms)
+        self.handle = handle
+        self.state = handle.getValueState("creation", _STATE)
 
     def handleInputRows(self, key, rows, timerValues):
+        rows = list(rows)
         scored, state = follow(rows, self.state.get(), self.rate)
         if state is not None:
             self.state.update(state)
+            if self.ttl_ms is not None:
+                # One timer per creation, moved on by whatever arrives for it.
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+                newest = max(row.arrival_ts for row in rows)
+                self.handle.registerTimer(_epoch_millis(newest) + self.ttl_ms)
         for row in scored:
             yield Row(**dict(zip(_SCORED_NAMES, (key[0], *row))))
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.state.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
 
+def _epoch_millis(ts: datetime) -> int:
+    return round((ts.astimezone(timezone.utc) - _EPOCH) / timedelta(milliseconds=1))
+
+
 def _creation_rows(creations: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     none = [zero, zero, zero, F.lit(0.0), zero, zero, F.lit(0.0)]

@@ -85,6 +85,8 @@ def test_decode_reasons(spark):
         "{bad": "malformed_json",
         "[]": "malformed_json",
         "12": "malformed_json",
+        '{"creationId":1}{"creationId":2}': "malformed_json",
+        '{"creationId":1} x': "malformed_json",
         '{"creationId":"abc"}': "bad_field",
         '{"category":"x"}': "null_creation_id",
         '{"creationId":1,"category":null}': None,

@@ -258,9 +258,27 @@ def test_actions_before_their_creation_are_lost():
     assert [(r[0], r[1]) for r in out] == [("x", 1.0)]
 
 
-def test_ttl_is_optional(spark, tmp_path):
+def test_state_expires(spark, tmp_path):
     files = Files(spark, tmp_path)
-    assert files.scored(state_ttl=timedelta(days=1)).isStreaming
+    files.add("made", [(1, None, "c", 1, at(HOUR), 1)], ARRIVED_CREATION)
+    files.add("done", [(1, 2, 1, HOUR, at(HOUR), 2, 0)], ARRIVED_ACTION)
+    files.add("ticks", [(at(2 * HOUR),)], TICKS)
+    files.run(state_ttl=timedelta(hours=5))
+    files.add("done", [(1, 2, 1, 3 * HOUR, at(3 * HOUR), 3, 0)], ARRIVED_ACTION)
+    files.add("ticks", [(at(20 * HOUR),)], TICKS)
+    files.run(state_ttl=timedelta(hours=5))
+    # By now the creation is forgotten, and so this action finds none.
+    files.add("done", [(1, 2, 1, 21 * HOUR, at(21 * HOUR), 4, 0)], ARRIVED_ACTION)
+    files.add("ticks", [(at(21 * HOUR),)], TICKS)
+    files.run(state_ttl=timedelta(hours=5))
+    files.close()
+    files.run(state_ttl=timedelta(hours=5))
+    assert sorted(r.last_action_ts for r in files.result().collect()) == [HOUR, 3 * HOUR]
+
+
+def test_clock_of_data_needs_a_delay(spark):
+    with pytest.raises(ValueError, match="delay"):
+        pipeline.build_pipeline(spark, kafka_options(True), "board", "checkpoint", clock="kafka")
 
 
 def test_empty_board(spark):
@@ -325,7 +343,7 @@ def test_bounded_job_in_broker_time(spark, tmp_path, monkeypatch):
     options = kafka_options(True, window_size=SIZE, board_size=2)
     board_path = str(tmp_path / "board")
     query = pipeline.build_pipeline(
-        spark, options, board_path, str(tmp_path / "checkpoint"), clock="kafka"
+        spark, options, board_path, str(tmp_path / "checkpoint"), clock="kafka", delay="0 seconds"
     )
     query.awaitTermination()
     found = BoardTable(board_path, 2).read(spark)

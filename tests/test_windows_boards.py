@@ -179,13 +179,10 @@ def file_client():
             sets.setdefault(key, {}).update(members)
             self._save(sets)
 
-        def zcard(self, key):
-            return len(self._load()[key])
-
         def zremrangebyrank(self, key, first, last):
             sets = self._load()
             ranked = sorted(sets[key], key=lambda m: (sets[key][m], m))
-            for member in ranked[first : last + 1]:
+            for member in ranked[first : len(ranked) + last + 1 if last < 0 else last + 1]:
                 del sets[key][member]
             self._save(sets)
 
@@ -208,3 +205,12 @@ def test_outside_sorted_sets(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert client(uri)._load() == {"hot:x": {"2": 2.0, "3": 0.5}, "hot:": {"5": 1.0}}
+
+
+def test_interleaved_trims_keep_exactly_n(tmp_path):
+    one, two = (file_client()(str(tmp_path / "sets.json")) for _ in range(2))
+    one.zadd("hot:x", {"1": 1.0, "2": 2.0, "3": 3.0})
+    two.zadd("hot:x", {"4": 4.0, "5": 5.0, "6": 6.0})
+    for client in (one, two):
+        client.zremrangebyrank("hot:x", 0, -(2 + 1))
+    assert one._load() == {"hot:x": {"5": 5.0, "6": 6.0}}
