@@ -163,8 +163,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]
             chosen.select("doc_id", "toxic", "text"), "ids array<int>, weights array<float>",
             lambda: _bags(index),
         )
-        .orderBy("doc_id")
         .toArrow()
+        .sort_by("doc_id")
     )
     weights, bias = train(
         list(zip(bags["ids"].to_numpy(), bags["weights"].to_numpy())),
