@@ -23,8 +23,9 @@ from hotrank.schemas import ARRIVAL_ORDER, EVENT_ORDER
 from hotrank.session import as_table, fresh_folder
 
 # Exponents are kept within this range, so exp() neither overflows nor loses digits. What lies
-# more than one chunk back has shrunk by at least exp(-CHUNK_EXPONENT).
+# more than CHUNKS_BACK chunks back has shrunk by exp(-768) at least, which no double holds.
 CHUNK_EXPONENT = 256
+CHUNKS_BACK = 3
 
 
 def decayed_running_sum(
@@ -35,29 +36,33 @@ def decayed_running_sum(
 
     ``clock`` is a bigint that never falls along ``order``. The plain form with exp(+rate*clock)
     would overflow, so the clock is cut into chunks: a running sum inside the row's chunk plus
-    the whole of the chunk before. ``weight`` must not be negative: the whole of a chunk is then
-    the highest of its running sums, and both windows share one sort. They share one exchange
-    too if ``df`` is partitioned by ``keys`` already; left alone, the first would ask for chunks.
+    the whole of each of the ``CHUNKS_BACK`` chunks before. ``weight`` must not be negative: the
+    whole of a chunk is then the highest of its running sums, and all windows share one sort. They
+    share one exchange too if ``df`` is partitioned by ``keys`` already; left alone, the first
+    would ask for chunks.
     """
     span = max(1, int(CHUNK_EXPONENT / rate))
     in_chunk = (
         Window.partitionBy(*keys, "_chunk").orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    chunk_before = Window.partitionBy(*keys).orderBy("_chunk").rangeBetween(-1, -1)
+    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
+    back = range(CHUNKS_BACK, 0, -1)
+    # Farthest first, one factor per chunk: no step leaves the range of a double before its end.
+    faded = F.lit(0.0)
+    for n in back:
+        faded = (F.coalesce(f"_before_{n}", F.lit(0.0)) + faded) * decay(rate, F.lit(span))
     offset = F.pmod(F.col(clock), F.lit(span).cast("long"))
     return (
         df.withColumn("_offset", offset)
         .withColumn("_chunk", F.expr(f"(`{clock}` - _offset) div {span}L"))
         .withColumn("_raised", F.col(weight) * F.exp(F.lit(rate) * F.col("_offset")))
         .withColumn("_inside", F.sum("_raised").over(in_chunk))
-        .withColumn("_before", F.max("_inside").over(chunk_before))
-        .withColumn(
-            name,
-            (F.col("_inside") + F.coalesce("_before", F.lit(0.0)) * decay(rate, F.lit(span)))
-            * decay(rate, F.col("_offset")),
+        .withColumns(
+            {f"_before_{n}": F.max("_inside").over(by_chunk.rangeBetween(-n, -n)) for n in back}
         )
-        .drop("_offset", "_chunk", "_raised", "_inside", "_before")
+        .withColumn(name, (F.col("_inside") + faded) * decay(rate, F.col("_offset")))
+        .drop("_offset", "_chunk", "_raised", "_inside", *(f"_before_{n}" for n in back))
     )
 
 

@@ -87,24 +87,21 @@ def event_time_window_scores(
         .agg(F.sum("at_end").alias("gain"), F.max("action_ts").alias("last_action_ts"))
         .select(
             "creation_id",
-            "cell_end",
-            "gain",
             "last_action_ts",
+            # Back from the end of the cell to its newest action.
+            (F.col("gain") * F.exp(F.lit(rate) * (F.col("cell_end") - F.col("last_action_ts"))))
+            .alias("gain"),
             F.unix_millis("w.start").alias("window_start"),
             F.unix_millis("w.end").alias("window_end"),
         )
     )
     cells = cells.repartition("creation_id")
-    # Every cell's sum is taken at its cell_end; windows sharing one follow each other.
     total = decayed_running_sum(
-        cells, ["creation_id"], ["last_action_ts"], "gain", "cell_end", rate, "at_end"
+        cells, ["creation_id"], ["last_action_ts"], "gain", "last_action_ts", rate, "score"
     )
-    # Back from the end of the cell to its newest action.
-    score = F.col("at_end") * F.exp(F.lit(rate) * (F.col("cell_end") - F.col("last_action_ts")))
-    last_cell = Window.partitionBy("creation_id", "window_end").orderBy(F.desc("cell_end"))
+    last_cell = Window.partitionBy("creation_id", "window_end").orderBy(F.desc("last_action_ts"))
     return (
-        total.withColumn("score", score)
-        .withColumn("_nth", F.row_number().over(last_cell))
+        total.withColumn("_nth", F.row_number().over(last_cell))
         .filter("_nth = 1")
         .select("creation_id", "score", "last_action_ts", "window_start", "window_end")
     )

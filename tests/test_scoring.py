@@ -194,3 +194,40 @@ def test_latest_version_wins(spark):
     assert {r.creation_id: r.category for r in found} == {1: "b", 2: "c"}
     joined = creations.enrich_latest(actions(spark, [(1, 0, 2), (9, 0, 2)]), versions)
     assert [r.category for r in joined.collect()] == ["b"]
+
+
+DAY = 86_400_000
+# Gaps whose decay comes near the end of what a double holds: up to some 7 days at 10 minutes.
+FAR = st.lists(
+    st.tuples(st.sampled_from([0, 1, 1000, TEN_MINUTES, DAY, 2 * DAY, 3 * DAY, 6 * DAY, 30 * DAY]),
+              st.sampled_from([1, 1, 2, 5])),
+    min_size=1, max_size=12,
+)
+
+
+@SPARK_SETTINGS
+@given(FAR)
+def test_old_history_is_never_cut(spark, gaps):
+    steps, ts = [], 0
+    for gap, kind in gaps:
+        ts += gap
+        steps.append((ts, kind))
+    expected = fold(steps, TEN_MINUTES)
+    df = actions(spark, [(1, ts, kind) for ts, kind in steps])
+    for order_by, segment_rows in (("arrival", None), ("action_ts", None), ("arrival", 2)):
+        found = scores(scoring.running_score(df, TEN_MINUTES, order_by, segment_rows))
+        # abs: below this, doubles have too few digits to compare.
+        assert found == pytest.approx(expected, rel=1e-9, abs=1e-300)
+
+
+def test_scores_six_days_later_still_differ(spark):
+    rows = [(1, 0, 2), (2, 0, 5), (1, 6 * DAY, 1), (2, 6 * DAY, 1)]
+    one, two = scores(scoring.running_score(actions(spark, rows), TEN_MINUTES, segment_rows=None))[2:]
+    assert 0 < one and two == pytest.approx(3 * one, rel=1e-9)
+    same = actions(spark, rows, [ts for _, ts, _ in rows])
+    found = {
+        r.creation_id: r.score
+        for r in event_time_window_scores(same, TEN_MINUTES, TEN_MINUTES).collect()
+        if r.window_start >= 6 * DAY
+    }
+    assert found == pytest.approx({1: one, 2: two}, rel=1e-9)
