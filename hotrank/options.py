@@ -30,7 +30,9 @@ class KafkaSourceOptions:
     ``auto_offset_reset`` never moves the start: only ``start_from_earliest`` does.
     ``partition_discovery_interval`` is accepted for completeness; Spark lists partitions in
     every micro-batch and reads new ones from their beginning. ``properties`` are passed to
-    the client, except those the job or Spark itself fixes.
+    the client, except those the job or Spark itself fixes. ``group_id`` names the consumer
+    groups: each query takes one of its own that starts with it, since queries that share a group
+    may each read a part of the topics only. ``fixed_group=True`` takes it as it is.
     """
 
     bootstrap_servers: str
@@ -44,6 +46,7 @@ class KafkaSourceOptions:
     security_protocol: str = "PLAINTEXT"
     properties: Mapping[str, str] = field(default_factory=dict)
     reader_options: Mapping[str, str] = field(default_factory=dict)
+    fixed_group: bool = False
 
     def __post_init__(self):
         if isinstance(self.topics, str):
@@ -59,15 +62,17 @@ class KafkaSourceOptions:
         return "earliest" if self.start_from_earliest else "latest"
 
     def client_settings(self) -> dict[str, str]:
-        """``kafka.*`` reader options; fixed settings win over ``properties``."""
+        """Reader options of the client; fixed settings win over ``properties``."""
         extra = {k: v for k, v in self.properties.items() if k not in _MANAGED_BY_SPARK}
         fixed = {
             "bootstrap.servers": self.bootstrap_servers,
             "security.protocol": self.security_protocol,
-            "group.id": self.group_id,
             "client.id": self.client_id_prefix,
         }
-        return {f"kafka.{k}": str(v) for k, v in {**extra, **fixed}.items()}
+        group = "kafka.group.id" if self.fixed_group else "groupIdPrefix"
+        return {f"kafka.{k}": str(v) for k, v in {**extra, **fixed}.items()} | {
+            group: self.group_id
+        }
 
 
 @dataclass(frozen=True)

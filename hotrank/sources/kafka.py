@@ -26,7 +26,7 @@ def reader_options(options: KafkaSourceOptions, batch: bool = False) -> dict[str
 
 
 def read_stream(spark: SparkSession, options: KafkaSourceOptions) -> DataFrame:
-    """Unbounded read. For a bounded one use ``trigger(options)`` on the query."""
+    """Unbounded read; a query with the trigger ``availableNow`` makes it a bounded one."""
     return spark.readStream.format("kafka").options(**reader_options(options)).load()
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from hotrank.operators import actions as split
 from hotrank.options import RankingOptions
 from hotrank.sources import decode, kafka
 from hotrank.streaming.board import BoardTable, write_sorted_sets
-from hotrank.streaming.scores import score_stream, windowed_stream
+from hotrank.streaming.scores import LateRows, score_stream, windowed_stream
 
 
 def decoded_inputs(
@@ -77,6 +78,36 @@ def start(
     return writer.trigger(processingTime=interval).start()
 
 
+@dataclass
+class RankingJob:
+    """The running job: the query that keeps the board, and the one that keeps bad input."""
+
+    spark: SparkSession
+    ranking: StreamingQuery
+    quarantine: StreamingQuery | None
+    late: LateRows
+
+    def _queries(self) -> list[StreamingQuery]:
+        return [query for query in (self.ranking, self.quarantine) if query is not None]
+
+    def awaitTermination(self) -> None:
+        for query in self._queries():
+            query.awaitTermination()
+
+    def exception(self):
+        return next(filter(None, (query.exception() for query in self._queries())), None)
+
+    def stop(self) -> None:
+        """Ends both queries, also when one of them failed."""
+        for query in self._queries():
+            query.stop()
+        self.spark.streams.removeListener(self.late)
+
+    def dropped_rows(self) -> int:
+        """Rows dropped as late since the job was started in this process."""
+        return self.late.of(self.ranking)
+
+
 def build_pipeline(
     spark: SparkSession,
     options: RankingOptions,
@@ -86,13 +117,22 @@ def build_pipeline(
     delay: str | None = None,
     connect: Callable | None = None,
     state_ttl: timedelta | int | None = None,
-) -> StreamingQuery:
+    quarantine_path: str | None = None,
+) -> RankingJob:
     """Starts the job on Kafka.
 
     Under the wall clock (``clock="processing"``) nothing is late, and ticks close windows on
     quiet topics. ``clock="kafka"`` takes broker time, which repeats on a re-read, and needs a
-    ``delay``: rows that come later than it allows are dropped before they are scored. Hot creations shrink before the shuffle. Both sources bounded: the job reads up to
-    the latest offsets and ends.
+    ``delay``: rows that come later than it allows are dropped before they are scored, and
+    ``dropped_rows`` of the job counts them. Hot creations shrink before the shuffle.
+
+    Unsound input is written to ``quarantine_path`` (by default the board's path and
+    ``-quarantine``) by a query of its own, whose checkpoint lies beside the job's, unless
+    ``on_malformed="fail"`` lets it end the job.
+
+    Both sources bounded: the call reads up to the latest offsets, closes every window, and
+    returns when all is written. Its checkpoint is then finished and refused by later runs, whose
+    rows would all be late; a run that was cut short may be started again.
     """
     if delay is None:
         if clock != "processing":
@@ -101,22 +141,83 @@ def build_pipeline(
     creation, action = options.creation_source, options.action_source
     if creation.bounded != action.bounded:
         raise ValueError("both sources are bounded or neither is")
-    creations_raw = kafka.with_arrival(
-        kafka.read_stream(spark, creation), list(creation.topics), clock
-    )
-    actions_raw = kafka.with_arrival(kafka.read_stream(spark, action), list(action.topics), clock)
-    live = clock == "processing"
+    bounded = creation.bounded
+    closing = ClosingTick(spark, checkpoint) if bounded else None
+    if bounded and closing.finished():
+        raise ValueError("this bounded job is finished; start another with a new checkpoint")
+    raw = [
+        kafka.with_arrival(kafka.read_stream(spark, source), list(source.topics), clock)
+        for source in (creation, action)
+    ]
+    if bounded:
+        ticks = closing.stream()
+    else:
+        ticks = heartbeat(spark) if clock == "processing" else None
+    late = LateRows()
+    spark.streams.addListener(late)
+    bad = None
+    if options.on_malformed == "quarantine":
+        bad = start_quarantine(
+            quarantine(*raw), quarantine_path or f"{board_path}-quarantine",
+            f"{checkpoint}-quarantine", options, once=bounded,
+        )
     windows = ranking_stream(
-        creations_raw,
-        actions_raw,
-        options,
-        delay,
-        combine=True,
-        ticks=heartbeat(spark) if live and not creation.bounded else None,
-        state_ttl=state_ttl,
+        *raw, options, delay, combine=True, ticks=ticks, state_ttl=state_ttl
     )
     board = BoardTable(board_path, options.board_size)
-    return start(windows, board, checkpoint, options, connect, once=creation.bounded)
+    query = start(windows, board, checkpoint, options, connect, bounded)
+    job = RankingJob(spark, query, bad, late)
+    if bounded:
+        job.awaitTermination()
+        # All rows are in: a tick beyond every window lets the rest out.
+        closing.write()
+        job.ranking = start(windows, board, checkpoint, options, connect, bounded)
+        job.awaitTermination()
+        closing.finish()
+        spark.streams.removeListener(late)
+    return job
+
+
+def start_quarantine(
+    rows: DataFrame, path: str, checkpoint: str, options: RankingOptions, once: bool = False
+) -> StreamingQuery:
+    """Writes unsound rows to Parquet files, each exactly once."""
+    writer = rows.writeStream.format("parquet").option("path", path).option(
+        "checkpointLocation", checkpoint
+    )
+    if once:
+        return writer.trigger(availableNow=True).start()
+    interval = f"{millis(options.trigger_interval)} milliseconds"
+    return writer.trigger(processingTime=interval).start()
+
+
+class ClosingTick:
+    """The tick that ends a bounded job, in a folder beside its checkpoint."""
+
+    _SCHEMA = "arrival_ts timestamp"
+    _END = "timestamp '9999-01-01 00:00:00'"
+
+    def __init__(self, spark: SparkSession, checkpoint: str):
+        self.spark = spark
+        self.folder = f"{checkpoint.rstrip('/')}-closing"
+
+    def _rows(self) -> DataFrame:
+        return self.spark.range(1, numPartitions=1).select(F.expr(self._END).alias("arrival_ts"))
+
+    def stream(self) -> DataFrame:
+        self._rows().limit(0).write.mode("append").parquet(f"{self.folder}/ticks")
+        return self.spark.readStream.schema(self._SCHEMA).parquet(f"{self.folder}/ticks")
+
+    def write(self) -> None:
+        self._rows().write.mode("append").parquet(f"{self.folder}/ticks")
+
+    def finish(self) -> None:
+        self._rows().write.mode("overwrite").parquet(f"{self.folder}/finished")
+
+    def finished(self) -> bool:
+        spark, name = self.spark, f"{self.folder}/finished/_SUCCESS"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
 def heartbeat(spark: SparkSession) -> DataFrame:

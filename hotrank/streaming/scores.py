@@ -6,7 +6,11 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import (
+    StatefulProcessor,
+    StatefulProcessorHandle,
+    StreamingQueryListener,
+)
 
 from hotrank.functions.decay import LONG_MIN, action_weight, decay_rate, millis
 from hotrank.operators.windows import windowed_scores
@@ -173,10 +177,45 @@ def windowed_stream(
     return windowed_scores(scored, size, half_life)
 
 
+def _late(progress) -> int:
+    return sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
+
+
 def dropped_rows(query) -> int:
     """Rows the query dropped as late in the batches it still remembers."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+    return sum(_late(progress) for progress in query.recentProgress)
+
+
+class LateRows(StreamingQueryListener):
+    """Counts the late rows of all batches, also of those a query no longer remembers.
+
+    To be added to a session's listeners before its queries start.
+    """
+
+    def __init__(self):
+        self._seen: dict[tuple[str, str, int], int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._add(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def _add(self, progress) -> None:
+        # A batch may be reported again while its query idles.
+        at = (str(progress["id"]), str(progress["runId"]), progress["batchId"])
+        self._seen[at] = max(self._seen.get(at, 0), _late(progress))
+
+    def of(self, *queries) -> int:
+        """Rows dropped by ``queries``; their last reports are read from the queries themselves."""
+        for query in queries:
+            for progress in query.recentProgress:
+                self._add(progress)
+        ids = {str(query.id) for query in queries}
+        return sum(n for (query_id, _, _), n in list(self._seen.items()) if query_id in ids)

@@ -54,7 +54,9 @@ def test_reader_options():
     assert found["subscribe"] == "a,b"
     assert found["startingOffsets"] == "latest"
     assert found["kafka.bootstrap.servers"] == "broker:9092"
-    assert found["kafka.group.id"] == "group"
+    assert found["groupIdPrefix"] == "group" and "kafka.group.id" not in found
+    fixed = KafkaSourceOptions("broker:9092", ["a"], "group", fixed_group=True).client_settings()
+    assert fixed["kafka.group.id"] == "group" and "groupIdPrefix" not in fixed
     assert found["kafka.client.id"] == "hotrank"
     assert found["kafka.security.protocol"] == "PLAINTEXT"
     assert "endingOffsets" not in found
