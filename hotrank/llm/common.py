@@ -30,6 +30,16 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     )
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns ``c0``, ``c1`` and so on, which no added name clashes with."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
+def number(df: DataFrame, name: str) -> str:
+    """What ``numbered(df)`` calls the first column of that exact name."""
+    return f"c{df.columns.index(name)}"
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text; empty where it is null."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

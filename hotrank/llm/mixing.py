@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hotrank.llm.common import pick, read
+from hotrank.llm.common import number, numbered, pick, read
 from hotrank.session import as_table, fresh_folder
 
 #: Weights of the sources in order, repeating.
@@ -217,18 +217,23 @@ def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents as often as the mix takes them; a part of a copy is its first words."""
+    """The documents as often as the mix takes them; a part of a copy is its first words.
+
+    Rows of equal id are all taken like the one of them that is taken most.
+    """
     takes = mix(docs).where("taken > 0").groupBy("doc_id").agg(
-        F.first("size").alias("_size"), F.first("taken").alias("_taken"))
-    takes = takes.withColumnRenamed("doc_id", "_id")
-    split = F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
-    part = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
-    names = docs.columns
-    rows = docs.join(takes, docs["doc_id"].eqNullSafe(takes["_id"])).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size"))))
+        F.max(F.struct("taken", "size")).alias("most")).select("doc_id", "most.*")
+    text, doc_id = number(docs, "text"), F.col(number(docs, "doc_id"))
+    split = F.split(F.regexp_replace(text, r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
+    part = F.col("taken") - (F.col("copy") - 1) * F.col("size")
+    rows = numbered(docs)
+    columns = rows.columns
+    rows = rows.join(takes, doc_id.eqNullSafe(F.col("doc_id"))).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size"))))
     )
-    cut = F.when(part < F.col("_size"), F.array_join(F.slice(split, 1, part.cast("int")), " "))
-    rows = rows.withColumn("text", F.coalesce(cut, F.col("text")))
-    if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*names)
+    cut = F.when(part < F.col("size"), F.array_join(F.slice(split, 1, part.cast("int")), " "))
+    rows = rows.withColumn(text, F.coalesce(cut, F.col(text)))
+    if "n_chars" in docs.columns:
+        chars = number(docs, "n_chars")
+        rows = rows.withColumn(chars, F.length(text).cast(rows.schema[chars].dataType))
+    return rows.select(*columns).toDF(*docs.columns)

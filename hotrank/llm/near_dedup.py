@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hotrank.llm.common import LOWER, packed, pick, read, small, texts, unpacked
+from hotrank.llm.common import LOWER, number, numbered, packed, pick, read, small, texts, unpacked
 from hotrank.llm.hashing import mixed, runs, word_hashes
 from hotrank.session import as_table, fresh_folder
 
@@ -293,7 +293,11 @@ def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies, all columns as they are."""
-    kept = near_components(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    """One document of each group of near copies, all columns as they are.
+
+    Of rows of equal id, which count as one document, one stays.
+    """
+    kept = near_components(docs).where("kept").select(F.col("doc_id").alias("kept")).distinct()
+    doc_id = number(docs, "doc_id")
+    rows = numbered(docs).join(kept, F.col(doc_id).eqNullSafe(F.col("kept")), "left_semi")
+    return rows.dropDuplicates([doc_id]).toDF(*docs.columns)

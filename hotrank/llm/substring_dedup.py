@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hotrank.llm.common import pack, packed, pick, read, small, texts, unpacked
+from hotrank.llm.common import number, numbered, pack, packed, pick, read, small, texts, unpacked
 from hotrank.llm.hashing import runs, stretches, word_hashes
 from hotrank.session import as_table, fresh_folder
 
@@ -242,10 +242,21 @@ def remove_repeats(
     ordered and told apart by 16 bits of a hash. Null ids come first. One row per row of ``docs``, kept words
     joined by one blank; with ``digest``, their SHA-256 instead.
     """
-    spark = docs.sparkSession
-    rows = pick(docs, doc_id=id_col, text=text_col).select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"),
-        F.pmod(F.xxhash64("text"), F.lit(1 << 16)).alias("txt"), "text")
+    rows = pick(docs, doc_id=id_col, text=text_col).select(*_key("doc_id", "text"), "text")
+    return _judge(rows, window, digest).select(
+        F.nullif("doc", F.lit(_NO_ID)).alias("doc_id"), "n_words", "n_removed", "kept")
+
+
+def _key(doc_id: str, text: str) -> tuple:
+    return (
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("doc"),
+        F.pmod(F.xxhash64(text), F.lit(1 << 16)).alias("txt"),
+    )
+
+
+def _judge(rows: DataFrame, window: int, digest: bool) -> DataFrame:
+    """``doc, txt, n_words, n_removed, kept`` of rows of ``doc, txt, text``."""
+    spark = rows.sparkSession
 
     def table(df: DataFrame, name: str) -> DataFrame:
         return as_table(df, fresh_folder(spark, f"substring-{name}"))
@@ -292,8 +303,7 @@ def remove_repeats(
     finished = judged.where("text is not null").select(*key, "text", "earlier").join(
         later, key, "left").mapInArrow(
         _finish(window, digest), "doc long, txt long, n_words long, n_removed long, kept string")
-    return judged.where("text is null").select(*columns).unionAll(finished.select(*columns)).select(
-        F.nullif("doc", F.lit(_NO_ID)).alias("doc_id"), "n_words", "n_removed", "kept")
+    return judged.where("text is null").select(*columns).unionAll(finished.select(*columns))
 
 
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -304,13 +314,17 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents with repeated passages removed, ``n_chars`` counted anew.
 
-    Texts that lose nothing stay as they are, white space included.
+    Texts that lose nothing stay as they are, white space included. One row per row: equal rows
+    lose the same words, and different texts of one id each their own.
     """
-    kept = remove_repeats(docs).where("n_removed > 0").select(
-        F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"))
-    names = docs.columns
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left")
-    rows = rows.withColumn("text", F.coalesce("_kept", "text"))
-    if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*names)
+    doc_id, text = number(docs, "doc_id"), number(docs, "text")
+    rows = numbered(docs)
+    columns = rows.columns
+    rows = rows.select("*", *_key(doc_id, text))
+    judged = _judge(rows.select("doc", "txt", F.col(text).alias("text")), 20, False)
+    kept = judged.where("n_removed > 0").select("doc", "txt", "kept").dropDuplicates(["doc", "txt"])
+    rows = rows.join(kept, ["doc", "txt"], "left").withColumn(text, F.coalesce("kept", text))
+    if "n_chars" in docs.columns:
+        chars = number(docs, "n_chars")
+        rows = rows.withColumn(chars, F.length(text).cast(rows.schema[chars].dataType))
+    return rows.select(*columns).toDF(*docs.columns)

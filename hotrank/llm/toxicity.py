@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hotrank.llm.common import LOWER, fold, per_text, pick, read, small, texts
+from hotrank.llm.common import LOWER, fold, number, numbered, per_text, pick, read, small, texts
 from hotrank.session import as_table, fresh_folder
 
 #: Hash buckets of subwords.
@@ -196,6 +196,13 @@ def _scorer(shared, bias: float):
     return score
 
 
+def _learnt(docs: DataFrame, labels: DataFrame):
+    """Makes scorers that learnt from the labelled rows outside the held-out fold."""
+    table, bias = fit_toxicity(docs, labels.where(fold() != 0))
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    return lambda: _scorer(shared, bias)
+
+
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -212,15 +219,11 @@ def score_toxicity(
     weight per bucket (``BUCKETS``). The driver fits at most ``SAMPLE`` sparse rows of at most
     ``FEATURES`` entries.
     """
-    spark = docs.sparkSession
     docs = pick(docs, doc_id=id_col, text=text_col)
-    labels = pick(labels, doc_id=id_col, toxic=label_col).where(fold() != 0)
-    table, bias = fit_toxicity(docs, labels)
-    shared = spark.sparkContext.broadcast(table)
+    make = _learnt(docs, pick(labels, doc_id=id_col, toxic=label_col))
     held_out = F.coalesce(fold() == 0, F.lit(False)).alias("held_out")
     return per_text(
-        docs.select("doc_id", held_out, "text"), "score double, predicted int",
-        lambda: _scorer(shared, bias),
+        docs.select("doc_id", held_out, "text"), "score double, predicted int", make
     )
 
 
@@ -229,7 +232,20 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents not predicted toxic, all columns as they are."""
-    scores = score_toxicity(docs, read(spark, folder, "labels"))
-    bad = scores.where("predicted = 1").select(F.col("doc_id").alias("_toxic")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_toxic"], "left_anti")
+    """The documents not predicted toxic, all columns as they are.
+
+    Each row is judged by its own text, whatever its id, and stays where it is: no shuffle.
+    """
+    make = _learnt(
+        pick(docs, doc_id="doc_id", text="text"),
+        pick(read(spark, folder, "labels"), doc_id="doc_id", toxic="toxic"),
+    )
+    rows, text = numbered(docs), number(docs, "text")
+
+    def run(batches):
+        score = make()
+        for batch in small(batches):
+            clean = [not score(x)[1] for x in texts(batch.column(text))]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

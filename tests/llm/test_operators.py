@@ -293,6 +293,26 @@ def test_shared_chunks_are_encoded_once():
         for t in (b"before " + text, b"another start " + text)]
 
 
+def test_stages_on_awkward_rows(spark, docs, sf):
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    # Extra columns named like those that stages add, and a repeated row that loses words.
+    extra = ["kept", "doc", "txt", "copy", "size", "taken", "predicted", "c0", "component_id"]
+    awkward = docs.unionAll(docs.where("doc_id = 8"))
+    for name in extra:
+        awkward = awkward.withColumn(name, awkward["lang"])
+    rows = {n: [tuple(r) for r in stages[n](spark, awkward, sf).collect()] for n in list(stages)[:4]}
+    lost = {r[0]: r[1] for r in rows["substring_dedup"]}
+    assert len(rows["substring_dedup"]) == len(TEXTS) + 1 and lost[8] == "" and lost[1] == TEXTS[0][1]
+    assert len(rows["toxicity"]) == len(TEXTS) + 1
+    ids = [r[0] for r in rows["near_dedup"]]
+    assert len(ids) == len(set(ids)) and {1, 3} <= set(ids) and 8 not in ids
+    assert all(r[-1] == "en" for found in rows.values() for r in found)
+    for row in rows["mixing"]:
+        assert row[1] in [t for _, t in TEXTS] or any(t and t.split()[: len(row[1].split())] == row[1].split() for _, t in TEXTS)
+
+
 def test_pipeline_columns(spark, sf):
     import corpus_pipeline
 
