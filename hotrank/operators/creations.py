@@ -93,8 +93,8 @@ def as_of_segments(rows: DataFrame) -> DataFrame:
         .over(before.rowsBetween(Window.unboundedPreceding, -1))
         .alias("earlier"),
     )
-    # One row per pair of key and segment, whose number ``split_hot_keys`` bounds.
-    seen = rows.withColumn("creation", _last_creation(keys)).join(F.broadcast(left), keys)
+    # The window has laid the rows out by both keys already: no exchange but that of ``left``.
+    seen = rows.withColumn("creation", _last_creation(keys)).join(left, keys)
     return _known_actions(
         seen.withColumn("creation", F.coalesce("creation", "earlier")).drop("earlier")
     )

@@ -15,14 +15,10 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hotrank.session import as_table, checkpointed, fresh_folder
+from hotrank.session import as_table, fresh_folder
 
 # A window over this many rows is still one task of about a minute.
 SEGMENT_ROWS = 5_000_000
-# Bound on the number of segments, and with it on hot keys: both lists are broadcast, at most
-# this many keys and twice as many pairs of key and segment. Beyond it the threshold rises, so
-# fewer keys count as hot and segments grow.
-MAX_SEGMENTS = 10_000
 
 
 @dataclass(frozen=True)
@@ -38,32 +34,28 @@ def split_hot_keys(
     key: str,
     order: list[str],
     segment_rows: int | None = SEGMENT_ROWS,
-    max_segments: int = MAX_SEGMENTS,
 ) -> Split:
     """Sets apart the keys with more than ``segment_rows`` rows.
 
     Runs one counting job over the key column (combined before its shuffle). Only when it finds
     hot keys are their rows range-partitioned and written to the shared folder: the segments
     must come out the same for everyone who reads them. ``order`` has to be unique per key.
-    ``segment_rows=None`` leaves the job out, for input known to be even.
+    ``segment_rows=None`` leaves the job out, for input known to be even. The list of hot keys is
+    a table, so the planner knows its size and broadcasts it only while that is small.
     """
     if segment_rows is None:
         return Split(df, None)
-    counts = checkpointed(df.groupBy(key).count().filter(F.col("count") > segment_rows))
-    n_keys, n_rows = counts.agg(F.count("*"), F.sum("count")).first()
-    if n_keys == 0:
+    counts = as_table(
+        df.groupBy(key).count().filter(F.col("count") > segment_rows),
+        fresh_folder(df.sparkSession, "hot-key-counts"),
+    )
+    n_rows = counts.agg(F.sum("count")).first()[0]
+    if n_rows is None:
         return Split(df, None)
-    limit = max(segment_rows, ceil(n_rows / max_segments))
-    if limit > segment_rows:
-        # Fewer than n_rows / limit <= max_segments keys can pass.
-        counts = counts.filter(F.col("count") > limit)
-        n_rows = counts.agg(F.sum("count")).first()[0]
-        if n_rows is None:
-            return Split(df, None)
-    keys = F.broadcast(counts.select(key))
+    keys = counts.select(key)
     hot = (
         df.join(keys, key, "left_semi")
-        .repartitionByRange(ceil(n_rows / limit), key, *order)
+        .repartitionByRange(ceil(n_rows / segment_rows), key, *order)
         .withColumn("segment", F.spark_partition_id())
     )
     hot = as_table(hot, fresh_folder(df.sparkSession, "hot-keys"))

@@ -138,8 +138,8 @@ def score_segments(df: DataFrame, order: list[str], rate: float) -> DataFrame:
     )
     since = F.col("gap") + F.col("_clock") - F.col("first_clock")
     return _finish(
-        # One row per pair of key and segment, whose number ``split_hot_keys`` bounds.
-        local.join(F.broadcast(inherited), keys)
+        # The rows are laid out by both keys already: no exchange but that of ``inherited``.
+        local.join(inherited, keys)
         .withColumn("score", F.col("score") + F.col("inherited") * decay(rate, since))
         .drop("gap", "first_clock", "inherited", "segment")
     )

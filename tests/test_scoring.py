@@ -108,15 +108,15 @@ def test_a_hot_key_is_split_and_scored_the_same(spark, order_by):
     assert found == pytest.approx(by_model(keyed, TEN_MINUTES, order_by), abs=1e-9)
 
 
-def test_number_of_segments_is_bounded(spark):
-    df = actions(spark, [(i % 10, i, 2) for i in range(1000)])
-    split = hotkeys.split_hot_keys(df, "creation_id", ARRIVAL_ORDER, 10, max_segments=5)
-    # Threshold rises to 200, which no key passes.
-    assert split.hot is None and split.rest.count() == 1000
-    hot = actions(spark, [(1 if i % 2 else i % 10, i, 2) for i in range(1000)])
-    split = hotkeys.split_hot_keys(hot, "creation_id", ARRIVAL_ORDER, 10, max_segments=5)
-    assert split.hot.select("segment").distinct().count() <= 5
-    assert split.hot.select("creation_id").distinct().count() == 1
+def test_every_key_above_the_threshold_is_split(spark):
+    keyed = [(i % 40, i * 1000, 2) for i in range(2000)]
+    df = actions(spark, keyed)
+    split = hotkeys.split_hot_keys(df, "creation_id", ARRIVAL_ORDER, 10)
+    segments = split.hot.groupBy("creation_id").agg(F.countDistinct("segment").alias("n")).collect()
+    assert len(segments) == 40 and min(r.n for r in segments) > 1
+    assert split.rest.count() == 0
+    found = scores(scoring.running_score(df, TEN_MINUTES, "arrival", 10))
+    assert found == pytest.approx(by_model(keyed, TEN_MINUTES, "arrival"), abs=1e-9)
 
 
 def test_one_exchange_without_hot_keys(spark):

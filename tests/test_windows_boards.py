@@ -122,7 +122,9 @@ def test_writing_a_batch_twice_changes_nothing(spark):
     assert held(leaderboard.leaderboard_update(once, batch, 2)) == held(once)
 
 
-def test_replay_equals_sorted_sets(spark):
+@pytest.mark.parametrize("run_rows", [100_000, 20, 4])
+def test_replay_equals_sorted_sets(spark, monkeypatch, run_rows):
+    monkeypatch.setattr(leaderboard, "RUN_ROWS", run_rows)
     rng = random.Random(3)
     data, sets = [], SortedSets(4)
     for end in range(1, 13):
@@ -136,6 +138,19 @@ def test_replay_equals_sorted_sets(spark):
     assert held(board) == {(c, m): s for c, e in sets.sets.items() for m, s in e.items()}
 
 
+def test_jobs_do_not_grow_with_windows(spark):
+    def jobs(count):
+        group = f"replay-{count}"
+        df = rows(spark, *[("x", i % 7, float(i % 5), i) for i in range(count)])
+        spark.sparkContext.setJobGroup(group, group)
+        ranking.replay_board(df, 3).collect()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few, many = jobs(3), jobs(40)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert many <= few + 2
+
+
 def test_board_table_is_idempotent_and_keeps_few_versions(spark, tmp_path):
     table = BoardTable(str(tmp_path / "board"), 2, keep=3)
     assert table.read(spark).count() == 0
