@@ -143,6 +143,52 @@ def test_toxicity_of_misspelt_words(spark):
     assert found[1000] == 1 and found[1001] == 0
 
 
+def test_toxicity_where_texts_share_most_words(spark):
+    # Features common to all texts once made the training diverge.
+    common = " ".join(f"shared{i} again" for i in range(40))
+    text = [(i, f"{common} w{i % 97} " + ("vileword " if i % 10 == 0 else "good ") * 2) for i in range(1500)]
+    df = spark.createDataFrame(text, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in text], "doc_id long, toxic int")
+    rows = toxicity.score_toxicity(df, labels).collect()
+    assert all(r.predicted == int(r.doc_id % 10 == 0) and 0 <= r.score <= 1 for r in rows)
+
+
+def test_toxicity_of_awkward_rows(spark):
+    # One labelled id with many rows, null and very long texts, a clashing column.
+    rows = [(7, f"row {i}", "x") for i in range(500)] + [(8, None, "x"), (9, "", "x"), (None, "lost", "x")]
+    rows += [(10, "a long vileword text " * 200_000, "x"), (10, "a long vileword text " * 200_000, "x")]
+    rows += [(100 + i, "vileword here" if i % 2 else f"fine day {i % 7}", "x") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, TEXT string")
+    labels = spark.createDataFrame(
+        [(7, 0), (7, 1), (8, 0), (None, 1)] + [(100 + i, i % 2) for i in range(200)],
+        "doc_id long, toxic int")
+    found = toxicity.score_toxicity(df, labels).collect()
+    assert len(found) == len(rows)
+    assert {r.predicted for r in found if r.doc_id == 10} == {1}
+    assert len({r.score for r in found if r.doc_id in (8, 9)}) == 1
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    rows = toxicity.op4_toxicity(spark, sf).join(labels, "doc_id").where("held_out").collect()
+    toxic = [r.predicted for r in rows if r.toxic]
+    clean = [r.predicted for r in rows if not r.toxic]
+    assert sum(toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.0125 * len(clean)
+
+
+def test_pieces_cover_every_subword(monkeypatch):
+    import numpy as np
+
+    held = [b"", b"One two-three", "été, x".encode() * 9, b"_"]
+    whole = [np.sort(np.concatenate([b[of == i] for of, b in toxicity.subwords(held)])) for i in range(4)]
+    monkeypatch.setattr(toxicity, "_SLICE", 5)
+    cut = list(toxicity.subwords(held))
+    for i in range(4):
+        assert np.array_equal(whole[i], np.sort(np.concatenate([b[of == i] for of, b in cut])))
+    assert len(whole[0]) == len(whole[3]) == 0
+
+
 @pytest.mark.parametrize("text", ["", "\\", "<\\/s>", "</s></s", "[INST][/INST]\\\\", "<<<SYS>>", "<", "[:]"])
 @pytest.mark.parametrize("role", ["user", "assistant", "system", "tool[:]", ""])
 def test_template_round_trip(role, text):
