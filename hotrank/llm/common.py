@@ -53,6 +53,18 @@ def small(batches: Iterator[pa.RecordBatch], size: int = 32 << 20) -> Iterator[p
             yield batch.slice(start, step)
 
 
+def cuts(text: bytes, gap, size: int = 1 << 20) -> Iterator[bytes]:
+    """``text`` in pieces of some ``size`` bytes, cut where the pattern ``gap`` ends."""
+    start = 0
+    while len(text) - start > size:
+        found = gap.search(text, start + size)
+        if not found:
+            break
+        yield text[start : found.end()]
+        start = found.end()
+    yield text[start:]
+
+
 def pack(text: bytes) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(text)
 
@@ -120,3 +132,22 @@ def _arrow(schema: str, skip: int) -> list[tuple[str, pa.DataType]]:
 def fold(doc_id: str = "doc_id", folds: int = 5):
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
+
+
+#: Groups above one in so many of all rows are hot; there are at most as many of them.
+HOT_SHARE = 1000
+
+
+def join_groups(
+    rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int
+) -> DataFrame:
+    """``rows`` joined with the group of their ``key``, of which ``groups`` holds one row each.
+
+    ``size`` is a column of ``groups`` that counts their rows. Hot groups, at most ``HOT_SHARE`` by
+    arithmetic, are broadcast, so their rows stay where they are; all others are shuffled.
+    """
+    is_hot = F.col(size) * HOT_SHARE > n_rows
+    hot = groups.where(is_hot)
+    cold_rows = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(
+        cold_rows.join(groups.where(~is_hot), key))

@@ -66,3 +66,17 @@ def stretches(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, kinds) ->
         (sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _STEP
         + np.asarray(kinds, np.uint64) * _BASE
     )
+
+
+def hash_words(data: np.ndarray, inside: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and 64-bit hashes of the words of ``data``, whose bytes are those ``inside``."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+    starts, ends = edges[::2], edges[1::2]
+    values = np.random.default_rng((21, seed)).integers(0, 1 << 64, 256, np.uint64)
+    powers, back = _grown(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(values[data] * powers[: len(data)], out=sums[1:])
+    return starts, mixed(
+        (sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
