@@ -223,6 +223,35 @@ SELECT *, row_number() OVER (batch ORDER BY arrival_seq) - 1 AS place, count(*)
 FROM ({EVENT_ACTIONS})
 WINDOW batch AS (PARTITION BY user_id, arrival_seq // {BLOCK})"""
 
+# Creations forgotten after twelve quiet hours: an island of rows counts as a key of its own.
+_ISLANDS = f"""
+times AS (
+  SELECT DISTINCT creation_id, arrival_us
+  FROM (SELECT creation_id, arrival_us FROM versions UNION ALL SELECT creation_id, arrival_us FROM actions)),
+gaps AS (
+  SELECT *, arrival_us - lag(arrival_us) OVER (PARTITION BY creation_id ORDER BY arrival_us) AS gap
+  FROM times),
+islands AS (
+  SELECT creation_id, arrival_us,
+         CAST(sum(CASE WHEN gap >= {12 * HOUR * 1000} THEN 1 ELSE 0 END)
+              OVER (PARTITION BY creation_id ORDER BY arrival_us) AS BIGINT) AS island
+  FROM gaps),
+enriched AS (
+  SELECT a.* EXCLUDE (island) REPLACE (a.creation_id * 1000000 + a.island AS creation_id), v.category
+  FROM (SELECT * FROM actions JOIN islands USING (creation_id, arrival_us)) a
+  ASOF JOIN (SELECT * FROM versions JOIN islands USING (creation_id, arrival_us)) v
+  ON a.creation_id = v.creation_id AND a.island = v.island AND a.arrival_us >= v.arrival_us)"""
+
+_EXPIRING = (
+    _cte("versions", EVENT_VERSIONS),
+    _cte("actions", EVENT_ACTIONS),
+    _ISLANDS,
+    _scored_by_arrival("enriched", EVENT_RATE).replace("scored AS", "of_islands AS"),
+    _cte("scored", "SELECT * REPLACE (creation_id // 1000000 AS creation_id) FROM of_islands"),
+    _latest(DAY),
+    _windowed(EVENT_RATE),
+)
+
 ORACLES = {
     "decode_creations": """
 SELECT p_partkey AS creation_id, CAST(p_size AS BIGINT) AS user_id, p_type AS category,
@@ -348,6 +377,8 @@ QUALIFY row_number() OVER (PARTITION BY category, creation_id ORDER BY window_en
         _board(100),
         recursive=True,
     ),
+    "windowed_with_expiry": _select(*_EXPIRING, select="SELECT * FROM windowed"),
+    "stream_micro_batches": _select(*_EXPIRING, select="SELECT * FROM windowed"),
     "stream_equals_batch": _select(*_EVENT_WINDOWS, select="SELECT * FROM windowed"),
     "stream_board": _with(*_EVENT_WINDOWS, _board(3), recursive=True),
 }

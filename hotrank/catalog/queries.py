@@ -21,7 +21,7 @@ from hotrank.session import fresh_folder
 from hotrank.sources import decode
 from hotrank.streaming.board import BoardTable
 from hotrank.streaming.pipeline import start
-from hotrank.streaming.scores import score_stream, windowed_stream
+from hotrank.streaming.scores import score_stream, slice_of, windowed_stream
 
 # Order lines lie days apart, events hours.
 LINE_HALF_LIFE = timedelta(hours=1000)
@@ -30,6 +30,8 @@ WEEK = timedelta(days=7)
 QUARTER = timedelta(days=90)
 DAY = timedelta(days=1)
 STREAM_BOARD = 3
+QUIET = timedelta(hours=12)
+SLICES = 4
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -265,6 +267,20 @@ def leaderboard_replay(spark, sf):
     return ranking.replay_board(_rounded(rows))
 
 
+def windowed_with_expiry(spark, sf):
+    """Creations are forgotten after some quiet hours; the second version brings big ones back."""
+    return _rounded(
+        ranking.windowed(
+            tables.part_versions(spark, sf),
+            tables.event_actions(spark, sf),
+            DAY,
+            EVENT_HALF_LIFE,
+            EVENT_HALF_LIFE,
+            state_ttl=QUIET,
+        )
+    )
+
+
 # --- streams ------------------------------------------------------------------------------
 
 
@@ -290,18 +306,59 @@ def _event_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
     return windowed_stream(scored, DAY, EVENT_HALF_LIFE)
 
 
-def stream_equals_batch(spark, sf):
+def _collected(spark, windows: DataFrame) -> DataFrame:
     folder = fresh_folder(spark, "stream")
     query = (
-        _event_windows_stream(spark, sf)
-        .writeStream.format("parquet")
+        windows.writeStream.format("parquet")
         .option("path", f"{folder}/out")
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return _rounded(spark.read.parquet(f"{folder}/out"))
+    return spark.read.parquet(f"{folder}/out")
+
+
+def stream_equals_batch(spark, sf):
+    return _rounded(_collected(spark, _event_windows_stream(spark, sf)))
+
+
+def stream_micro_batches(spark, sf):
+    """Both tables in ``SLICES`` files by arrival, one file of each in every micro-batch.
+
+    State is carried from one to the next, hot creations are combined in slices of the day, and
+    creations expire.
+    """
+    folder = fresh_folder(spark, "sliced")
+    actions, made = tables.event_actions(spark, sf), tables.part_versions(spark, sf)
+    first, last = actions.agg(F.min("arrival_ts"), F.max("arrival_ts")).first()
+    step = (last - first) / SLICES
+    cuts = [first + step * i for i in range(1, SLICES)]
+    inputs = {"actions": actions, "made": made}
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        for name, df in inputs.items():
+            if low is not None:
+                df = df.filter(F.col("arrival_ts") >= F.lit(low))
+            if high is not None:
+                df = df.filter(F.col("arrival_ts") < F.lit(high))
+            df.coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+
+    def stream(name):
+        reader = spark.readStream.schema(inputs[name].schema).option("maxFilesPerTrigger", 1)
+        return reader.parquet(f"{folder}/{name}")
+
+    # One more micro-batch closes the last windows.
+    ticks = spark.range(1).select(F.lit(first).alias("arrival_ts"))
+    for i in range(SLICES):
+        ticks.coalesce(1).write.mode("append").parquet(f"{folder}/ticks")
+    far = F.lit("2100-01-01 00:00:00").cast("timestamp")
+    ticks.select(far.alias("arrival_ts")).coalesce(1).write.mode("append").parquet(f"{folder}/ticks")
+    inputs["ticks"] = ticks
+    scored = score_stream(
+        stream("made"), stream("actions"), EVENT_HALF_LIFE, state_ttl=QUIET,
+        ticks=stream("ticks"), slice_size=slice_of(DAY),
+    )
+    return _rounded(_collected(spark, windowed_stream(scored, DAY, EVENT_HALF_LIFE)))
 
 
 def stream_board(spark, sf):
@@ -339,6 +396,8 @@ QUERIES = {
     "hot_ranking_arrival_order": hot_ranking_arrival_order,
     "hot_ranking_from_messages": hot_ranking_from_messages,
     "leaderboard_replay": leaderboard_replay,
+    "windowed_with_expiry": windowed_with_expiry,
     "stream_equals_batch": stream_equals_batch,
+    "stream_micro_batches": stream_micro_batches,
     "stream_board": stream_board,
 }

@@ -65,28 +65,70 @@ def _known_actions(rows: DataFrame) -> DataFrame:
     """Actions whose creation had been seen by then; the others are lost for good."""
     return rows.filter(F.col("action").isNotNull() & F.col("creation").isNotNull()).select(
         "creation_id", "creation.category", "action.*", *ARRIVAL_ORDER,
-        *[c for c in rows.columns if c == "segment"],
+        *[c for c in rows.columns if c in ("segment", "island")],
     )
 
 
-def as_of_whole(rows: DataFrame) -> DataFrame:
+def _silence(before: Column, ttl_ms: int) -> Column:
+    """1 where nothing had arrived for ``ttl_ms`` since ``before``, else 0."""
+    gap = F.unix_micros("arrival_ts") - F.unix_micros(before)
+    return F.coalesce((gap >= ttl_ms * 1000).cast("long"), F.lit(0).cast("long"))
+
+
+def islands_whole(rows: DataFrame, ttl_ms: int) -> DataFrame:
+    """Adds ``island`` to a timeline of whole keys: it goes up where nothing came for ``ttl_ms``.
+
+    What was known of a creation is forgotten between islands.
+    """
+    w = Window.partitionBy("creation_id").orderBy(*ARRIVAL_ORDER)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        rows.withColumn("_silent", _silence(F.lag("arrival_ts").over(w), ttl_ms))
+        .withColumn("island", F.sum("_silent").over(so_far)).drop("_silent")
+    )
+
+
+def islands_segments(rows: DataFrame, ttl_ms: int) -> DataFrame:
+    """The same of a segmented timeline, with one row per segment handed on."""
+    keys = ["creation_id", "segment"]
+    w = Window.partitionBy(*keys).orderBy(*ARRIVAL_ORDER)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn("_silent", _silence(F.lag("arrival_ts").over(w), ttl_ms)).withColumn(
+        "_inside", F.sum("_silent").over(so_far))
+    by_segment = Window.partitionBy("creation_id").orderBy("segment")
+    ends = local.groupBy(*keys).agg(
+        F.min("arrival_ts").alias("arrival_ts"), F.max("arrival_ts").alias("last"),
+        F.sum("_silent").alias("n"),
+    ).withColumn("opens", _silence(F.lag("last").over(by_segment), ttl_ms))
+    ends = ends.select(
+        *keys,
+        # Islands up to this segment's first row: its own opening, and all of the segments before.
+        (F.sum(F.col("opens") + F.col("n")).over(
+            by_segment.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
+        .alias("_from"),
+    )
+    return local.join(ends, keys).withColumn("island", F.col("_from") + F.col("_inside")).drop(
+        "_silent", "_inside", "_from")
+
+
+def as_of_whole(rows: DataFrame, keys: tuple[str, ...] = ("creation_id",)) -> DataFrame:
     """As-of join of a timeline whose keys are whole."""
-    return _known_actions(rows.withColumn("creation", _last_creation(["creation_id"])))
+    return _known_actions(rows.withColumn("creation", _last_creation(list(keys))))
 
 
-def as_of_segments(rows: DataFrame) -> DataFrame:
+def as_of_segments(rows: DataFrame, whole: tuple[str, ...] = ("creation_id",)) -> DataFrame:
     """As-of join of a segmented timeline.
 
     Each segment starts from the last creation of the segments before it, found from one
     pre-aggregated row per segment.
     """
-    keys = ["creation_id", "segment"]
+    keys = [*whole, "segment"]
     place = F.struct(*ARRIVAL_ORDER)
     left = rows.groupBy(*keys).agg(
         # NULL when the segment brings no creation.
         F.max_by("creation", F.when(F.col("creation").isNotNull(), place)).alias("newest")
     )
-    before = Window.partitionBy("creation_id").orderBy("segment")
+    before = Window.partitionBy(*whole).orderBy("segment")
     left = left.select(
         *keys,
         F.last("newest", ignorenulls=True)
@@ -108,8 +150,10 @@ def enrich_as_of(
     Inner: actions that come before their creation are dropped. Linear in both inputs, one
     exchange on ``creation_id``; hot keys are cut into segments.
     """
+    # Actions without id find no creation; left in, they would make one partition of their own.
+    known = actions.filter(F.col("creation_id").isNotNull())
     split = split_hot_keys(
-        timeline(creations, actions), "creation_id", ARRIVAL_ORDER, segment_rows
+        timeline(creations, known), "creation_id", ARRIVAL_ORDER, segment_rows
     )
     out = as_of_whole(split.rest)
     if split.hot is not None:

@@ -16,8 +16,14 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hotrank.functions.decay import action_weight, decay, decay_rate, elapsed
-from hotrank.operators.creations import as_of_segments, as_of_whole, timeline
+from hotrank.functions.decay import action_weight, decay, decay_rate, elapsed, millis
+from hotrank.operators.creations import (
+    as_of_segments,
+    as_of_whole,
+    islands_segments,
+    islands_whole,
+    timeline,
+)
 from hotrank.operators.hotkeys import SEGMENT_ROWS, split_hot_keys
 from hotrank.schemas import ARRIVAL_ORDER, EVENT_ORDER
 from hotrank.session import as_table, fresh_folder
@@ -97,20 +103,23 @@ def _finish(df: DataFrame) -> DataFrame:
 
 
 def score_whole(
-    df: DataFrame, order: list[str], rate: float, placed: bool = False
+    df: DataFrame, order: list[str], rate: float, placed: bool = False,
+    keys: tuple[str, ...] = ("creation_id",),
 ) -> DataFrame:
     """Scores of whole keys. ``placed``: rows are partitioned by ``creation_id`` already."""
-    return _finish(_score(df, ["creation_id"], order, rate, placed))
+    return _finish(_score(df, list(keys), order, rate, placed))
 
 
-def score_segments(df: DataFrame, order: list[str], rate: float) -> DataFrame:
+def score_segments(
+    df: DataFrame, order: list[str], rate: float, whole: tuple[str, ...] = ("creation_id",)
+) -> DataFrame:
     """Scores of segmented keys: each segment from zero, then the score it inherits.
 
     A segment is summed up by its first and last action time, the clock it ran and its own
     score at the end. These rows, one per segment, follow the same recurrence as single
     actions do, so their running score comes from the same expression.
     """
-    keys = ["creation_id", "segment"]
+    keys = [*whole, "segment"]
     place = F.struct(*order)
     # Worked out twice, for the sums and for the rows: measured faster than writing it.
     local = _score(df, keys, order, rate)
@@ -121,7 +130,7 @@ def score_segments(df: DataFrame, order: list[str], rate: float) -> DataFrame:
         F.max_by("_clock", place).alias("last_clock"),
         F.max_by("score", place).alias("gain"),
     )
-    w = Window.partitionBy("creation_id").orderBy("segment")
+    w = Window.partitionBy(*whole).orderBy("segment")
     step = elapsed(F.col("first_ts"), F.lag("last_ts").over(w))
     sums = sums.withColumn("gap", F.coalesce(step, F.lit(0).cast("long"))).withColumn(
         "end_clock",
@@ -130,7 +139,7 @@ def score_segments(df: DataFrame, order: list[str], rate: float) -> DataFrame:
         ),
     )
     sums = decayed_running_sum(
-        sums, ["creation_id"], ["segment"], "gain", "end_clock", rate, "end_score"
+        sums, list(whole), ["segment"], "gain", "end_clock", rate, "end_score"
     )
     inherited = sums.select(
         *keys, "gap", "first_clock",
@@ -163,10 +172,12 @@ def running_score(
 
     ``order_by="arrival"`` follows the order in which actions came; an action older than its
     predecessor decays nothing, and the time it steps back is decayed again by the next one.
-    ``order_by="action_ts"`` is the textbook score. Actions of no weight count as actions.
+    ``order_by="action_ts"`` is the textbook score. Actions of no weight count as actions; actions
+    without creation id are no group and give no row.
     """
     rate = decay_rate(half_life)
     order = _order(order_by)
+    actions = actions.filter(F.col("creation_id").isNotNull())
     split = split_hot_keys(actions, "creation_id", order, segment_rows)
     out = score_whole(split.rest, order, rate)
     if split.hot is not None:
@@ -180,26 +191,43 @@ def score_timeline(
     half_life: timedelta | int,
     order_by: str = "arrival",
     segment_rows: int | None = SEGMENT_ROWS,
+    state_ttl: timedelta | int | None = None,
 ) -> DataFrame:
     """As-of enrichment and score in one go.
 
     The same as ``running_score(enrich_as_of(...))``, with hot keys looked for once and a
     single exchange on ``creation_id`` for all other keys. Hot keys scored in event order are
     cut anew, since their segments follow arrival.
+
+    With ``state_ttl`` a creation is forgotten, version and score, when nothing arrives for it for
+    that long: its rows fall into islands between the gaps, and each island stands alone. Only in
+    arrival order.
     """
     rate = decay_rate(half_life)
     order = _order(order_by)
-    rows = timeline(creations, actions)
+    if state_ttl is not None and order != ARRIVAL_ORDER:
+        raise ValueError("what expires by arrival is scored in order of arrival")
+    # Without an id nothing can be enriched; such actions would make one partition of their own.
+    rows = timeline(creations, actions.filter(F.col("creation_id").isNotNull()))
     split = split_hot_keys(rows, "creation_id", ARRIVAL_ORDER, segment_rows)
-    out = score_whole(as_of_whole(split.rest), order, rate, placed=True)
-    if split.hot is not None:
-        hot = as_of_segments(split.hot)
+    rest, hot = split.rest, split.hot
+    keys = ("creation_id",)
+    if state_ttl is not None:
+        keys = ("creation_id", "island")
+        rest = islands_whole(rest, millis(state_ttl))
+    out = score_whole(as_of_whole(rest, keys), order, rate, placed=True, keys=keys)
+    if hot is not None:
+        if state_ttl is not None:
+            # Read several times.
+            folder = fresh_folder(rows.sparkSession, "hot-islands")
+            hot = as_table(islands_segments(hot, millis(state_ttl)), folder)
+        hot = as_of_segments(hot, keys)
         if order == ARRIVAL_ORDER:
-            hot = score_segments(hot, order, rate)
+            hot = score_segments(hot, order, rate, keys)
         else:
             # Read several times when it is cut again.
             folder = fresh_folder(rows.sparkSession, "hot-enriched")
             hot = as_table(hot.drop("segment"), folder)
             hot = running_score(hot, half_life, order_by, segment_rows)
         out = out.unionByName(hot)
-    return out
+    return out.drop("island")

@@ -37,9 +37,12 @@ def windowed(
     window_half_life: timedelta,
     order_by: str = "arrival",
     segment_rows: int | None = SEGMENT_ROWS,
+    state_ttl: timedelta | None = None,
 ) -> DataFrame:
     """Windowed decayed scores, action by action as the stream computes them."""
-    scored = score_timeline(creations, actions, score_half_life, order_by, segment_rows)
+    scored = score_timeline(
+        creations, actions, score_half_life, order_by, segment_rows, state_ttl
+    )
     return windowed_scores(scored, window_size, window_half_life)
 
 

@@ -15,7 +15,7 @@ from hotrank.operators import actions as split
 from hotrank.options import RankingOptions
 from hotrank.sources import decode, kafka
 from hotrank.streaming.board import BoardTable, write_sorted_sets
-from hotrank.streaming.scores import LateRows, score_stream, windowed_stream
+from hotrank.streaming.scores import LateRows, score_stream, slice_of, windowed_stream
 
 
 def decoded_inputs(
@@ -42,11 +42,12 @@ def ranking_stream(
     combine: bool = False,
     ticks: DataFrame | None = None,
     state_ttl: timedelta | int | None = None,
+    slice_size: timedelta | int | None = None,
 ) -> DataFrame:
     """Windowed decayed scores of two raw streams."""
     made, done = decoded_inputs(creations_raw, actions_raw, options.on_malformed)
     scored = score_stream(
-        made, done, options.score_half_life, delay, combine, state_ttl, ticks=ticks
+        made, done, options.score_half_life, delay, combine, state_ttl, ticks, slice_size
     )
     return windowed_stream(scored, options.window_size, options.window_half_life)
 
@@ -161,8 +162,10 @@ def build_pipeline(
             quarantine(*raw), quarantine_path or f"{board_path}-quarantine",
             f"{checkpoint}-quarantine", options, once=bounded,
         )
+    # Under the wall clock a micro-batch has one time, and tasks combine it; else slices do.
     windows = ranking_stream(
-        *raw, options, delay, combine=True, ticks=ticks, state_ttl=state_ttl
+        *raw, options, delay, combine=True, ticks=ticks, state_ttl=state_ttl,
+        slice_size=None if clock == "processing" else slice_of(options.window_size),
     )
     board = BoardTable(board_path, options.board_size)
     query = start(windows, board, checkpoint, options, connect, bounded)
@@ -195,7 +198,7 @@ class ClosingTick:
     """The tick that ends a bounded job, in a folder beside its checkpoint."""
 
     _SCHEMA = "arrival_ts timestamp"
-    _END = "timestamp '9999-01-01 00:00:00'"
+    _END = "timestamp '2200-01-01 00:00:00'"
 
     def __init__(self, spark: SparkSession, checkpoint: str):
         self.spark = spark

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import (
     StatefulProcessor,
@@ -14,25 +16,27 @@ from pyspark.sql.streaming import (
 
 from hotrank.functions.decay import LONG_MIN, action_weight, decay_rate, millis
 from hotrank.operators.windows import windowed_scores
-from hotrank.schemas import ARRIVAL_ORDER, SCORE_COLUMNS
+from hotrank.schemas import ARRIVAL_ORDER
 from hotrank.session import send_by_value
-from hotrank.streaming.fold import STRETCH, follow, stretches
+from hotrank.streaming.fold import STRETCH, follow_all, stretches, stretches_of_slices
 
-_STATE = "category string, score double, last_ts bigint"
+_STATE = "category string, score double, last_ts bigint, seen_us bigint"
+STATE_NAME = "creations"
+#: Parts the state is kept in; a checkpoint goes on with the number it began with.
+SHARDS = 1024
 _SCORED = (
     "creation_id bigint, category string, score double, last_action_ts bigint, "
     "arrival_ts timestamp, arrival_seq bigint, pos bigint"
 )
-_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
-_SCORED_NAMES = ["creation_id", *SCORE_COLUMNS[1:], *ARRIVAL_ORDER]
 
 
 class ScoreKeeper(StatefulProcessor):
-    """Per creation: its latest version, its score and the time of its last action.
+    """Of every creation of a shard: its latest version, its score, its last action and arrival.
 
-    Creations and actions share one state, which is what lets an action find its creation.
-    Nothing expires unless ``ttl_ms`` is set: then a creation is forgotten once the watermark is
-    that far past the last row that arrived for it.
+    Creations and actions share one state, which is what lets an action find its creation. Rows
+    of all creations of a shard are followed at once. Nothing expires unless ``ttl_ms`` is set:
+    then a creation is forgotten when nothing arrives for it so long. Timers only clear up what
+    the watermark has left behind for good, a shard at a time.
     """
 
     def __init__(self, rate: float, ttl_ms: int | None = None):
@@ -41,34 +45,45 @@ class ScoreKeeper(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("creation", _STATE)
+        self.state = handle.getMapState(STATE_NAME, "creation_id bigint", _STATE)
 
     def handleInputRows(self, key, rows, timerValues):
-        rows = list(rows)
-        scored, state = follow(rows, self.state.get(), self.rate)
-        if state is not None:
-            self.state.update(state)
-            if self.ttl_ms is not None:
-                # One timer per creation, moved on by whatever arrives for it.
-                for timer in list(self.handle.listTimers()):
-                    self.handle.deleteTimer(timer)
-                newest = max(row.arrival_ts for row in rows)
-                self.handle.registerTimer(_epoch_millis(newest) + self.ttl_ms)
-        for row in scored:
-            yield Row(**dict(zip(_SCORED_NAMES, (key[0], *row))))
+        rows = pd.concat(list(rows), ignore_index=True)
+        before = {
+            x: self.state.getValue((x,)) for x in np.unique(rows["creation_id"].to_numpy()).tolist()
+        }
+        ttl_us = None if self.ttl_ms is None else self.ttl_ms * 1000
+        scored, after = follow_all(
+            rows, {x: state for x, state in before.items() if state is not None}, self.rate, ttl_us)
+        for creation, state in after.items():
+            if state is not None:
+                self.state.updateValue((creation,), state)
+            elif before[creation] is not None:
+                self.state.removeKey((creation,))
+        if self.ttl_ms is not None and not list(self.handle.listTimers()):
+            left = [state[3] for state in after.values() if state is not None]
+            if left:
+                self.handle.registerTimer(min(left) // 1000 + self.ttl_ms + 1)
+        if len(scored):
+            yield scored
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.state.clear()
+        now, oldest = timerValues.getCurrentWatermarkInMs(), None
+        for (creation,), state in list(self.state.iterator()):
+            if state[3] // 1000 + self.ttl_ms < now:
+                self.state.removeKey((creation,))
+            else:
+                oldest = state[3] if oldest is None else min(oldest, state[3])
+        if oldest is not None:
+            # Not for every creation by itself: a shard is looked through a few times per span.
+            due = oldest // 1000 + self.ttl_ms + 1
+            self.handle.registerTimer(max(due, now + self.ttl_ms // 4 + 1))
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def _epoch_millis(ts: datetime) -> int:
-    return round((ts.astimezone(timezone.utc) - _EPOCH) / timedelta(milliseconds=1))
-
-
 def _creation_rows(creations: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     none = [zero, zero, zero, F.lit(0.0), zero, zero, F.lit(0.0)]
@@ -80,9 +95,16 @@ def _creation_rows(creations: DataFrame) -> DataFrame:
         F.lit(True).alias("is_creation"),
         "category",
         *[value.alias(name) for name, value in zip(STRETCH, none)],
+        *_arrivals(),
     )
 
 
+def _arrivals() -> list:
+    """When a row arrives, and the span of what it sums up, in microseconds."""
+    us = F.unix_micros("arrival_ts")
+    return [us.alias("arrival_us"), us.alias("from_us"), us.alias("until_us")]
+
+
 def _silent(ticks: DataFrame) -> DataFrame:
     """Ticks as versions of a creation that nobody acts on."""
     return _creation_rows(
@@ -110,6 +132,7 @@ def stream_timeline(creations: DataFrame, actions: DataFrame) -> DataFrame:
         F.lit(False).alias("is_creation"),
         F.lit(None).cast("string").alias("category"),
         *[value.alias(name) for name, value in zip(STRETCH, one)],
+        *_arrivals(),
     )
     return made.unionByName(done)
 
@@ -129,6 +152,29 @@ def combine_in_tasks(rows: DataFrame, rate: float) -> DataFrame:
     return rows.mapInPandas(shrink, rows.schema)
 
 
+def combine_in_slices(rows: DataFrame, rate: float, slice_us: int) -> DataFrame:
+    """Shrinks hot creations on any clock: to one row per slice of arrival and version.
+
+    A creation's rows of one slice meet in one task, those of different slices in different ones,
+    so that no task gets a hot creation's micro-batch whole. What comes out is strung together by
+    the state. A stretch arrives with its last action and is late only when that is.
+    """
+
+    def shrink(batches):
+        held = list(batches)
+        if held:
+            yield stretches_of_slices(pd.concat(held, ignore_index=True), rate).drop(columns="slice")
+
+    sliced = rows.withColumn("slice", F.floor(F.unix_micros("arrival_ts") / F.lit(slice_us)))
+    return sliced.repartition("creation_id", "slice").mapInPandas(shrink, rows.schema)
+
+
+def slice_of(size: timedelta | int) -> int:
+    """Milliseconds of a slice: the finest of at most 300 equal parts of a window."""
+    span = millis(size)
+    return next(span // parts for parts in range(300, 0, -1) if span % parts == 0)
+
+
 def score_stream(
     creations: DataFrame,
     actions: DataFrame,
@@ -137,13 +183,17 @@ def score_stream(
     combine: bool = False,
     state_ttl: timedelta | int | None = None,
     ticks: DataFrame | None = None,
+    slice_size: timedelta | int | None = None,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """Scored actions of two streams, in arrival order.
 
     ``delay`` is how far ``arrival_ts`` may run behind: zero under the wall clock, more with any
     clock taken from data, since later rows are dropped before they are scored
     (``dropped_rows`` counts them). ``ticks`` is a stream with an ``arrival_ts`` only; it moves
-    the watermark on when nothing else arrives.
+    the watermark on when nothing else arrives. ``combine`` shrinks hot creations inside tasks,
+    ``slice_size`` (a part of the window that all windows are made up of, and not above
+    ``state_ttl``) in tasks of their own. After ``state_ttl`` without a row for it a creation is forgotten.
     """
     rate = decay_rate(half_life)
     # The only provider that can hold this operator's state; it keeps it on disk.
@@ -153,15 +203,21 @@ def score_stream(
     )
     send_by_value()
     rows = stream_timeline(creations, actions)
-    if combine:
+    ttl_ms = None if state_ttl is None else millis(state_ttl)
+    if slice_size is not None:
+        if ttl_ms is not None and ttl_ms < millis(slice_size):
+            raise ValueError("a slice is not longer than the time creations are remembered")
+        rows = combine_in_slices(rows, rate, millis(slice_size) * 1000)
+    elif combine:
         rows = combine_in_tasks(rows, rate)
     if ticks is not None:
         rows = rows.unionByName(_silent(ticks))
     return (
-        rows.withWatermark("arrival_ts", delay)
-        .groupBy("creation_id")
-        .transformWithState(
-            ScoreKeeper(rate, None if state_ttl is None else millis(state_ttl)),
+        rows.withColumn("shard", F.pmod(F.xxhash64("creation_id"), F.lit(shards)).cast("int"))
+        .withWatermark("arrival_ts", delay)
+        .groupBy("shard")
+        .transformWithStateInPandas(
+            ScoreKeeper(rate, ttl_ms),
             outputStructType=_SCORED,
             outputMode="Append",
             timeMode="EventTime",
@@ -170,6 +226,26 @@ def score_stream(
     )
 
 
+def creation_states(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What the newest finished micro-batch of a checkpoint holds, one row per creation.
+
+    ``creation_id, category, score, last_action_ts, seen_us``: read by Spark's state source, while
+    the query runs or after it. Rows per shard of the state follow from ``shard``.
+    """
+    operators = spark.read.format("state-metadata").load(checkpoint)
+    keeper = operators.filter("operatorName like 'transformWithState%'").first()
+    held = (
+        spark.read.format("statestore").option("stateVarName", STATE_NAME)
+        .option("operatorId", keeper.operatorId).load(checkpoint)
+    )
+    return held.select(
+        F.col("user_map_key.creation_id").alias("creation_id"),
+        "user_map_value.category", "user_map_value.score",
+        F.col("user_map_value.last_ts").alias("last_action_ts"), "user_map_value.seen_us",
+        F.col("key.shard").alias("shard"),
+    ).where(F.col("creation_id") != LONG_MIN)
+
+
 def windowed_stream(
     scored: DataFrame, size: timedelta | int, half_life: timedelta | int
 ) -> DataFrame:

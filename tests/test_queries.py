@@ -23,3 +23,16 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["category", "creation_id", "score", "window_end", "rank"]
     assert df.count() > 0
+
+
+def test_ranking_queries_outlive_a_missing_module(monkeypatch):
+    import sys
+
+    import __spark_entry__
+
+    for name in [x for x in sys.modules if x.startswith("hotrank.llm") or x == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    # None stands for a module that cannot be imported.
+    monkeypatch.setitem(sys.modules, "zstandard", None)
+    assert set(__spark_entry__.queries()) == set(__spark_entry__.QUERIES)
+    assert set(__spark_entry__.oracle_sql()) == set(__spark_entry__.ORACLES)
