@@ -37,21 +37,19 @@ def split_hot_keys(
 ) -> Split:
     """Sets apart the keys with more than ``segment_rows`` rows.
 
-    Runs one counting job over the key column (combined before its shuffle). Only when it finds
-    hot keys are their rows range-partitioned and written to the shared folder: the segments
+    Runs one counting job over the key column (combined before its shuffle), which writes nothing.
+    Only when it finds hot keys are they counted into a table, and their rows range-partitioned and written to the shared folder: the segments
     must come out the same for everyone who reads them. ``order`` has to be unique per key.
     ``segment_rows=None`` leaves the job out, for input known to be even. The list of hot keys is
     a table, so the planner knows its size and broadcasts it only while that is small.
     """
     if segment_rows is None:
         return Split(df, None)
-    counts = as_table(
-        df.groupBy(key).count().filter(F.col("count") > segment_rows),
-        fresh_folder(df.sparkSession, "hot-key-counts"),
-    )
+    counts = df.groupBy(key).count().filter(F.col("count") > segment_rows)
     n_rows = counts.agg(F.sum("count")).first()[0]
     if n_rows is None:
         return Split(df, None)
+    counts = as_table(counts, fresh_folder(df.sparkSession, "hot-key-counts"))
     keys = counts.select(key)
     hot = (
         df.join(keys, key, "left_semi")
