@@ -1,4 +1,4 @@
-"""Language-model scores: subword lattices over an existing vocabulary, weighted by a corpus."""
+"""Language-model scores: marginals of subword lattices over an existing vocabulary."""
 
 from __future__ import annotations
 
@@ -116,26 +116,20 @@ def _spelt(shared):
     return run
 
 
-def _log10_model(c: float, log_l: float, n: float, prior: float) -> float:
-    """log10 of (c + prior * L) / (n + prior)."""
-    if c:
-        return math.log10((c + prior * math.exp(log_l)) / (n + prior))
-    return (math.log(prior) + log_l - math.log(n + prior)) / math.log(10)
-
-
 def _score_head(shared, end):
     """A row per document with the sums over its common words and the end, and one per other word.
 
-    A document's own row goes under a blank and its number, which no word can be.
+    A document's own row goes under a blank and its number, which no word can be, and alone
+    carries the document's columns.
     """
 
     def run(batches):
         common = shared.value
         for batch in small(batches, 4 << 20):
-            row, token, times, known, base, model, count = [], [], [], [], [], [], []
-            for number, text in zip(
+            row, token, times, known, base, model, count, owner = [], [], [], [], [], [], [], []
+            for place, (number, text) in enumerate(zip(
                 batch.column("row").to_pylist(), texts(batch.column("text"))
-            ):
+            )):
                 counts = Counter(text.translate(LOWER).split())
                 n, (k, b, m), others = 1, end, []
                 for word, here in counts.items():
@@ -154,12 +148,15 @@ def _score_head(shared, end):
                 for column, own in ((known, k), (base, b), (model, m), (count, n)):
                     column.append(own)
                     column += rest
+                owner.append(place)
+                owner += [None] * len(others)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row, pa.int64()), pa.array(token, pa.binary()).cast(pa.string()),
                  pa.array(times, pa.int64()), pa.array(known, pa.int64()),
                  pa.array(base, pa.float64()), pa.array(model, pa.float64()),
-                 pa.array(count, pa.int64())],
-                names=["row", "token", "times", "known", "base", "model", "n_tokens"],
+                 pa.array(count, pa.int64()),
+                 *[batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc_id", "held_out")]],
+                names=["row", "token", "times", "known", "base", "model", "n_tokens", "doc_id", "held_out"],
             )
 
     return run
@@ -172,15 +169,16 @@ def score_texts(
     """Base and model scores of every whole text; one row per row of ``docs``.
 
     Learns word counts from the rows whose crc32(id) mod 5 is not ``remainder`` (a null id is
-    learnt from). ``base_score`` is the add-half word model. The model gives a word
-    ``(c + k * L) / (N + k)``: its count plus its lattice marginal L over all segmentations into
-    the pieces of an existing vocabulary; ``k`` is the number of words seen once, the
-    Good-Turing guess of what is still unseen (1 at least). L is worked out once per distinct
-    word; as no piece passes a blank, the sum over words is the marginal of the text.
+    learnt from). ``base_score`` is the add-half word model. ``score`` is the log10 marginal of
+    the text, its words joined by single blanks and followed by the end: the probability of all
+    its segmentations into the pieces of an existing vocabulary, weighted by that vocabulary's
+    scores. As no piece passes a blank, a text's marginal is the product of its words', and the
+    forward recursion runs once per distinct word of the corpus.
 
     Every word of the corpus is counted: inside tasks first, then by shuffle. Words of at least
     1 / ``HEAD`` of all occurrences, of which there can be ``HEAD`` at most, are broadcast; the
     others, none of which is hot, meet their counts in a join. Null and empty texts are one end.
+    Repeated rows and rows of equal or null id are scored row by row. An empty table gives none.
     """
     spark = docs.sparkSession
     context = spark.sparkContext
@@ -196,46 +194,39 @@ def score_texts(
     sums = words.agg(
         F.sum("n").alias("all"), F.sum("c").alias("learnt"),
         F.count(F.when(F.col("c") > 0, 1)).alias("distinct"),
-        F.count(F.when(F.col("c") == 1, 1)).alias("once"),
     ).first()
     ends = rows.where("not held_out").count()
     n = (sums["learnt"] or 0) + ends
     distinct = sums["distinct"] + (ends > 0)
-    prior = float(max(1, sums["once"]))
     under = math.log10(n + 0.5 * (distinct + 1))
 
     def entry(c, log_l):
-        return int(c > 0), math.log10(c + 0.5) - under, _log10_model(c, log_l, n, prior)
+        return int(c > 0), math.log10(c + 0.5) - under, log_l / math.log(10)
 
     common = words.where(F.col("n") * HEAD >= (sums["all"] or 0)).select("token", "c", "log_l")
     head = {t.encode(): entry(c, l) for t, c, l in common.collect()}
-    scored = rows.withColumn("row", F.monotonically_increasing_id())
-    parts = scored.select("row", "text").mapInArrow(
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    parts = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
         _score_head(context.broadcast(head), entry(ends, math.log(_END))),
-        "row long, token string, times long, known long, base double, model double, n_tokens long",
+        "row long, token string, times long, known long, base double, model double, "
+        f"n_tokens long, doc_id {kind}, held_out boolean",
     )
-    seen = F.col("c") > 0
-    log_k, log_n = math.log(prior), math.log(n + prior)
     rare = words.where(F.col("n") * HEAD < (sums["all"] or 0)).select(
-        "token", seen.cast("long").alias("w_known"),
+        "token", (F.col("c") > 0).cast("long").alias("w_known"),
         (F.log10(F.col("c") + 0.5) - under).alias("w_base"),
-        F.when(seen, F.log10((F.col("c") + prior * F.exp("log_l")) / (n + prior)))
-        .otherwise((log_k + F.col("log_l") - log_n) / math.log(10)).alias("w_model"),
+        (F.col("log_l") / math.log(10)).alias("w_model"),
     )
-    joined = parts.join(rare.hint("shuffle_hash"), "token", "left")
 
     def total(own, word):
         return F.sum(F.col(own) + F.col("times") * F.coalesce(F.col(word), F.lit(0)))
 
-    per_row = joined.groupBy("row").agg(
-        total("known", "w_known").alias("n_known"), total("base", "w_base").alias("base_score"),
-        total("model", "w_model").alias("score"), F.max("n_tokens").alias("n_tokens"),
-    )
-    ids = scored.select("row", "doc_id", "held_out")
-    return ids.join(per_row, "row").select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
-        "base_score", "score",
-    )
+    return parts.join(rare, "token", "left").groupBy("row").agg(
+        # A row that stands for a rare word has neither id nor fold.
+        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"),
+        F.max("n_tokens").alias("n_tokens"), total("known", "w_known").alias("n_known"),
+        F.lit(n).cast("long").alias("train_tokens"), total("base", "w_base").alias("base_score"),
+        total("model", "w_model").alias("score"),
+    ).drop("row")
 
 
 def op6_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
