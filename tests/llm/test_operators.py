@@ -62,6 +62,43 @@ def test_expressions(text, value):
     assert licenses.freedom(licenses.parse(text)) == value
 
 
+@pytest.mark.parametrize("text, postfix, value", [
+    ("MIT AND Foo-1.0", "mit foo-1.0 and", 0.0), ("Foo-1.0 OR MIT", "foo-1.0 mit or", 1.0),
+    ("GPL-2.0-only AND Commons-Clause", "gpl-2.0-only commons-clause and", 0.0),
+    ("Apache-2.0 WITH nonsense-exception", "apache-2.0 nonsense-exception with", 0.0),
+    ("MPL-1.1 OR MIT", "mpl-1.1 mit or", 1.0), ("GPL-2.0+ with GCC-exception-3.1", "gpl-2.0+ gcc-exception-3.1 with", 0.5),
+    ("MIT OR Whatever", "mit whatever or", 1.0), ("MIT and more of that", "mit", 1.0),
+    ("MIT. And so on", "mit", 1.0), ("see the file", "", None), ("Foo-1.0 AND Bar-2.0", "", None),
+    ("DocumentRef-a:LicenseRef-b OR ISC", "documentref-a:licenseref-b isc or", 1.0),
+    ("(Foo-1.0 OR MIT) AND CC-BY-NC-2.5", "foo-1.0 mit or cc-by-nc-2.5 and", 0.1),
+])
+def test_unknown_operands_stay(text, postfix, value):
+    found = licenses.parse(text)
+    assert " ".join(token for _, token in found) == postfix
+    assert not found or licenses.freedom(found) == value
+
+
+def test_licenses_against_brute_force(spark):
+    """Phrases among words, over awkward rows: null, empty, very long, repeated, extra columns."""
+    long = "x " * 200_000 + "CC-BY all rights reserved cc by " + "y" * 300_000
+    texts = [*TEXTS, (20, long), (20, long), (21, "cc cc by by, CC\nBY: general  public license"),
+             (22, "all rights reserved" * 3), (23, "License: MIT AND Foo-1.0")]
+    rows = [(i, t, "x") for i, t in texts]
+    got = sorted(
+        (r.doc_id or 0, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels)
+        for r in licenses.scan_licenses(
+            spark.createDataFrame(rows, "doc_id long, text string, TEXT string")).collect())
+    want = []
+    for i, t in texts:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+        at = [(k, label) for phrase, label in licenses.BASE_PHRASES for k in range(len(words))
+              if words[k : k + len(phrase.split())] == phrase.split()]
+        starts = [k for k, _ in at]
+        want.append((i or 0, len(words), len(at), min(starts, default=None),
+                     max(starts, default=None), ",".join(sorted({x for _, x in at}))))
+    assert got == sorted(want, key=lambda r: r[:3])
+
+
 def test_licenses_of_nothing(nothing):
     assert licenses.scan_licenses(nothing).count() == 0
 
@@ -235,6 +272,34 @@ def test_lattice_sums_all_segmentations():
     assert lattice.log_marginal("ab") == pytest.approx(math.log(total))
 
 
+def test_lm_scores_are_marginals_of_whole_texts(spark, monkeypatch):
+    """Every segmentation of the whole text, blanks included, listed and summed."""
+    pieces = [("▁", -1.0), ("▁a", -2.0), ("a", -1.5), ("b", -2.5), ("ab", -3.0), ("▁ab", -4.0)]
+    monkeypatch.setattr(lm, "piece_scores", lambda path=None: pieces)
+    monkeypatch.setattr(lm, "HEAD", 3)  # words are common and rare
+    texts = [(1, "ab a"), (2, "ba é"), (3, None), (4, "a a a"), (4, "a a a"), (None, "B ab")]
+    p, lattice = dict(pieces), lm.Lattice(pieces)
+
+    def brute(text):
+        total = 0.0
+        for n in range(len(text)):
+            for cuts in combinations(range(1, len(text)), n):
+                edges, weight = [0, *cuts, len(text)], 1.0
+                for part in (text[a:b] for a, b in zip(edges, edges[1:])):
+                    weight *= (math.exp(p[part]) if part in p else 0.0) + (
+                        math.exp(lattice.byte * len(part.encode())) if len(part) == 1 else 0.0)
+                total += weight
+        return math.log10(total) if text else 0.0
+
+    rows = lm.score_texts(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id or 0 for r in rows) == [0, 1, 2, 3, 4, 4]
+    by = {r.doc_id: r for r in rows}
+    for i, t in texts:
+        whole = "".join("▁" + w for w in WORD.findall(lower(t)))
+        assert by[i].score == pytest.approx(brute(whole) + math.log10(lm._END))
+        assert by[i].n_tokens == len(WORD.findall(lower(t))) + 1
+
+
 def test_lm_base_scores(docs, nothing):
     import zlib
     from collections import Counter
