@@ -187,8 +187,9 @@ def near_components(
     Documents are linked when ``100 * intersection >= percent * union`` of their sets of
     ``size``-word shingles. Documents of equal sets are one class from the start. A signature
     keeps the minimum and maximum under each permutation, and bands of it deal classes to
-    buckets. First every class is compared with the bucket's smallest and largest; then, among
-    classes of a bucket not yet connected, with every one of similar size. Candidates pass by
+    buckets. First every class is compared with the bucket's smallest and largest, in full with one
+    of them, and with the others unless that connected them; then, among classes of a bucket not
+    yet connected, with every one of similar size. Candidates pass by
     signature and are confirmed on the full sets. In crowded buckets that last step compares
     blocks of full sets inside tasks and gives links only, so that pairs within a group are
     never listed, however large the group, and no bucket is cut.
@@ -221,26 +222,40 @@ def near_components(
         .where("n > 1").drop("n"), "buckets")
     members = table(entries.join(buckets, "bucket"), "members")
     sketch = firsts.select("class", "sketch")
+    # All that any comparison below asks for, shuffled out of the corpus once.
+    asked = members.select(F.col("class").alias("doc_id")).distinct()
+    whole = table(packed(rows).join(asked, "doc_id").select("doc_id", "text"), "texts")
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+    def plausible(pairs: DataFrame, name: str) -> DataFrame:
         pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        pairs = (
+        return table(
             pairs.where("x <> y").distinct()
             .join(sketch.toDF("x", "sketch_x"), "x").join(sketch.toDF("y", "sketch_y"), "y")
-            .select("x", "y", "sketch_x", "sketch_y").mapInArrow(_alike, "x long, y long")
-        )
-        pairs = table(pairs, f"pairs-{name}")
-        asked = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-        whole = table(packed(rows).join(asked, "doc_id"), f"texts-{name}")
+            .select("x", "y", "sketch_x", "sketch_y").mapInArrow(_alike, "x long, y long"),
+            f"pairs-{name}")
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         return table(
             pairs.join(whole.toDF("x", "text_x"), "x").join(whole.toDF("y", "text_y"), "y")
             .select("x", "y", "text_x", "text_y").mapInArrow(
                 _confirm(size, percent), "x long, y long"), f"links-{name}")
 
-    links = confirmed(
+    stars = plausible(
         members.select(F.col("class").alias("x"), F.explode(F.array("low", "high")).alias("y")),
         "stars")
+    # A class meets one partner in full first; the others only where that left them apart.
+    first = stars.groupBy("y").agg(F.min("x").alias("x")).select("x", "y")
+    links = confirmed(first, "first")
     roots = components(links)
+    apart = (
+        stars.join(roots.toDF("x", "root_x"), "x", "left")
+        .join(roots.toDF("y", "root_y"), "y", "left")
+        .where(F.coalesce("root_x", "x") != F.coalesce("root_y", "y"))
+        .join(first, ["x", "y"], "left_anti").select("x", "y"))
+    rest = confirmed(apart, "stars")
+    if not rest.isEmpty():
+        links = links.unionAll(rest)
+        roots = components(links)
     placed = members.join(roots, members["class"] == roots["node"], "left").select(
         "bucket", "class", "n_shingles", F.coalesce("root", "class").alias("root"))
     torn = (
@@ -254,12 +269,12 @@ def near_components(
         F.col("n_y") * 100 >= F.col("n_shingles") * percent)
     across = few.join(other, "bucket").where(
         (F.col("class") < F.col("y")) & (F.col("root") != F.col("root_y")) & similar)
-    more = confirmed(across.select(F.col("class").alias("x"), "y"), "across")
+    more = confirmed(
+        plausible(across.select(F.col("class").alias("x"), "y"), "across"), "across")
     crowd = placed.where(F.col("n") > CROWD)
     asked = crowd.select(F.col("class").alias("doc_id")).distinct()
     sets = table(
-        packed(rows).join(asked, "doc_id").select("doc_id", "text")
-        .mapInArrow(_sets(size), "class long, set binary"), "sets"
+        whole.join(asked, "doc_id").mapInArrow(_sets(size), "class long, set binary"), "sets"
     ).dropDuplicates(["class"])
     count = F.ceil(F.col("n") / _BLOCK).cast("int")
     own = F.pmod(F.xxhash64("class"), count).cast("int")
