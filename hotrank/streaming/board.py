@@ -137,3 +137,41 @@ def write_sorted_sets(
             .sortWithinPartitions("window_end", "key")
             .foreachPartition(write)
         )
+
+
+def mirror_board(
+    board: DataFrame, batch: DataFrame, uri: str, connect: Callable = redis_client
+) -> None:
+    """Makes the sorted sets of the batch's categories hold exactly what ``board`` does.
+
+    A set is replaced in one transaction by its board, which has board-size members at most and is
+    the same whenever a micro-batch is run again. So a repeated batch, task or transaction
+    changes nothing, and readers never see a set half written. The sets belong to the job: what
+    others put there is replaced. ``connect(uri)`` gives a client with ``pipeline`` and ``close``;
+    the pipeline has ``delete``, ``zadd`` and ``execute``.
+    """
+
+    def write(rows):
+        client = connect(uri)
+        try:
+            for key, group in groupby(rows, lambda r: r.key):
+                change = client.pipeline(transaction=True)
+                change.delete(key)
+                change.zadd(key, {r.member: r.score for r in group})
+                change.execute()
+        finally:
+            client.close()
+
+    send_by_value()
+    with adaptive(batch.sparkSession):
+        (
+            board.join(batch.select("category").distinct(), "category", "left_semi")
+            .select(
+                ranking_key(F.col("category")).alias("key"),
+                member_text(F.col("creation_id")).alias("member"),
+                "score",
+            )
+            .repartition("key")
+            .sortWithinPartitions("key")
+            .foreachPartition(write)
+        )

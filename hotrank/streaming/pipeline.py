@@ -14,7 +14,7 @@ from hotrank.functions.decay import millis
 from hotrank.operators import actions as split
 from hotrank.options import RankingOptions
 from hotrank.sources import decode, kafka
-from hotrank.streaming.board import BoardTable, write_sorted_sets
+from hotrank.streaming.board import BoardTable, mirror_board
 from hotrank.streaming.scores import LateRows, score_stream, slice_of, windowed_stream
 
 
@@ -60,7 +60,10 @@ def start(
     connect: Callable | None = None,
     once: bool = False,
 ) -> StreamingQuery:
-    """Runs windowed scores into the board and, given ``connect``, into outside sorted sets."""
+    """Runs windowed scores into the board and, given ``connect``, into outside sorted sets.
+
+    The sets follow the board, so they too come out the same when a micro-batch is run again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Used several times; without this each use would run the whole micro-batch again.
@@ -68,7 +71,7 @@ def start(
         try:
             board.write_batch(batch, batch_id)
             if connect is not None:
-                write_sorted_sets(batch, options.sink_uri, options.board_size, connect)
+                mirror_board(board.read(batch.sparkSession), batch, options.sink_uri, connect)
         finally:
             batch.unpersist()
 

@@ -5,7 +5,7 @@ import pytest
 
 from hotrank.operators import leaderboard, windows
 from hotrank.plans import ranking
-from hotrank.streaming.board import BoardTable, write_sorted_sets
+from hotrank.streaming.board import BoardTable, mirror_board, write_sorted_sets
 from model import SortedSets, at
 
 SCORED = (
@@ -222,6 +222,70 @@ def test_outside_sorted_sets(spark, tmp_path):
     assert client(uri)._load() == {"hot:x": {"2": 2.0, "3": 0.5}, "hot:": {"5": 1.0}}
 
 
+def transaction_client():
+    """Sorted sets in one file per set, changed by whole transactions, each of which is logged."""
+
+    class Transactions:
+        def __init__(self, uri):
+            self.folder, self.steps = uri, []
+
+        def pipeline(self, transaction):
+            assert transaction
+            self.steps = []
+            return self
+
+        def delete(self, key):
+            self.steps.append((key, None))
+
+        def zadd(self, key, members):
+            self.steps.append((key, members))
+
+        def execute(self):
+            import json
+            import os
+
+            (key, nothing), (same, members) = self.steps
+            assert nothing is None and same == key
+            os.makedirs(self.folder, exist_ok=True)
+            with open(f"{self.folder}/{key}.json", "w") as f:
+                json.dump(members, f)
+
+        def close(self):
+            pass
+
+    return Transactions
+
+
+def outside_sets(folder):
+    import json
+
+    return {f.stem: json.loads(f.read_text()) for f in folder.glob("*.json")}
+
+
+def test_a_repeated_batch_leaves_outside_sets_unchanged(spark, tmp_path):
+    """Also one that is repeated after a failure between the board and the sets, or among these."""
+    sets, client = tmp_path / "sets", transaction_client()
+    table = BoardTable(str(tmp_path / "board"), 2)
+    batches = [
+        rows(spark, ("x", 1, 5.0, 1), ("x", 2, 2.0, 1), ("y", 7, 1.0, 1), (None, 4, 9.0, 1)),
+        # 1 sinks below 3 and 4 in a later window of the same batch, and 3 is written twice.
+        rows(spark, ("x", 3, 9.0, 2), ("x", 1, 0.5, 3), ("x", 3, 3.0, 3), ("x", 4, 4.0, 3)),
+    ]
+    for batch_id, batch in enumerate(batches):
+        seen = []
+        for attempt in range(3):
+            table.write_batch(batch, batch_id)
+            if attempt != 1:
+                mirror_board(table.read(spark), batch, str(sets), client)
+            seen.append(outside_sets(sets))
+        assert seen[0] == seen[1] == seen[2]
+    wanted = {}
+    for r in table.read(spark).collect():
+        wanted.setdefault(f"hot:{r.category}", {})[str(r.creation_id)] = r.score
+    assert outside_sets(sets) == wanted
+    assert wanted["hot:x"] == {"3": 3.0, "4": 4.0} and wanted["hot:y"] == {"7": 1.0}
+
+
 def test_interleaved_trims_keep_exactly_n(tmp_path):
     one, two = (file_client()(str(tmp_path / "sets.json")) for _ in range(2))
     one.zadd("hot:x", {"1": 1.0, "2": 2.0, "3": 3.0})
