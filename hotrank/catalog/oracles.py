@@ -381,4 +381,14 @@ QUALIFY row_number() OVER (PARTITION BY category, creation_id ORDER BY window_en
     "stream_micro_batches": _select(*_EXPIRING, select="SELECT * FROM windowed"),
     "stream_equals_batch": _select(*_EVENT_WINDOWS, select="SELECT * FROM windowed"),
     "stream_board": _with(*_EVENT_WINDOWS, _board(3), recursive=True),
+    "job_from_messages": _with(
+        _cte("actions", _MESSAGE_ACTIONS),
+        _cte("versions", EVENT_VERSIONS),
+        _ENRICHED,
+        _scored_by_arrival("enriched", EVENT_RATE),
+        _latest(DAY),
+        _windowed(EVENT_RATE),
+        _board(3),
+        recursive=True,
+    ),
 }

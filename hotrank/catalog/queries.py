@@ -18,9 +18,9 @@ from hotrank.operators.windows import latest_per_window, windowed_scores
 from hotrank.options import KafkaSourceOptions, RankingOptions
 from hotrank.plans import ranking
 from hotrank.session import fresh_folder
-from hotrank.sources import decode
+from hotrank.sources import decode, kafka
 from hotrank.streaming.board import BoardTable
-from hotrank.streaming.pipeline import start
+from hotrank.streaming.pipeline import ranking_stream, start
 from hotrank.streaming.scores import score_stream, slice_of, windowed_stream
 
 # Order lines lie days apart, events hours.
@@ -376,6 +376,34 @@ def stream_board(spark, sf):
     return board.read(spark)
 
 
+def job_from_messages(spark, sf):
+    """The whole streaming job: raw JSON messages in, the board out, its last windows included."""
+    folder = fresh_folder(spark, "job")
+    topics = {
+        "creations": messages.creation_messages(tables.part_versions(spark, sf)),
+        "actions": messages.action_messages(messages.packed_lists(tables.event_actions(spark, sf))),
+    }
+    source = {"bootstrap_servers": "unused:9092", "group_id": "unused"}
+    options = RankingOptions(
+        *[KafkaSourceOptions(topics=[topic], **source) for topic in topics],
+        window_size=DAY, score_half_life=EVENT_HALF_LIFE, window_half_life=EVENT_HALF_LIFE,
+        board_size=STREAM_BOARD,
+    )
+    raw = []
+    for topic, rows in topics.items():
+        rows.write.parquet(f"{folder}/{topic}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/{topic}")
+        raw.append(kafka.with_arrival(stream, [topic], "kafka"))
+    far = F.lit("2100-01-01 00:00:00").cast("timestamp")
+    windows = ranking_stream(
+        *raw, options, slice_size=slice_of(DAY),
+        ticks=_table_stream(spark, sf, "region").select(far.alias("arrival_ts")),
+    )
+    board = BoardTable(f"{folder}/board", STREAM_BOARD)
+    start(_rounded(windows), board, f"{folder}/checkpoint", options, once=True).awaitTermination()
+    return board.read(spark)
+
+
 QUERIES = {
     "decode_creations": decode_creations,
     "decode_quarantine_counts": decode_quarantine_counts,
@@ -400,4 +428,5 @@ QUERIES = {
     "stream_equals_batch": stream_equals_batch,
     "stream_micro_batches": stream_micro_batches,
     "stream_board": stream_board,
+    "job_from_messages": job_from_messages,
 }
