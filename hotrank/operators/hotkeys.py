@@ -19,6 +19,10 @@ from hotrank.session import as_table, fresh_folder
 
 # A window over this many rows is still one task of about a minute.
 SEGMENT_ROWS = 5_000_000
+# Sketches of this many keys each, one for every part of the keys; below the 128 groups up to
+# which Spark aggregates objects without a sort.
+_PARTS = 64
+_TRACKED = 3072
 
 
 @dataclass(frozen=True)
@@ -37,20 +41,19 @@ def split_hot_keys(
 ) -> Split:
     """Sets apart the keys with more than ``segment_rows`` rows.
 
-    Runs one counting job over the key column (combined before its shuffle), which writes nothing.
-    Only when it finds hot keys are they counted into a table, and their rows range-partitioned and written to the shared folder: the segments
-    must come out the same for everyone who reads them. ``order`` has to be unique per key.
-    ``segment_rows=None`` leaves the job out, for input known to be even. The list of hot keys is
-    a table, so the planner knows its size and broadcasts it only while that is small.
+    One pass over the key column looks for them by sketch and writes nothing; only when it finds
+    some are these counted, and their rows range-partitioned and written to the shared folder:
+    the segments must come out the same for everyone who reads them. ``order`` has to be unique
+    per key. ``segment_rows=None`` leaves the pass out, for input known to be even. The list of
+    hot keys is a table, so the planner knows its size and broadcasts it only while that is small.
     """
     if segment_rows is None:
         return Split(df, None)
-    counts = df.groupBy(key).count().filter(F.col("count") > segment_rows)
-    n_rows = counts.agg(F.sum("count")).first()[0]
-    if n_rows is None:
+    keys = hot_keys(df, key, segment_rows)
+    if keys is None:
         return Split(df, None)
-    counts = as_table(counts, fresh_folder(df.sparkSession, "hot-key-counts"))
-    keys = counts.select(key)
+    n_rows = keys.agg(F.sum("count")).first()[0]
+    keys = keys.select(key)
     hot = (
         df.join(keys, key, "left_semi")
         .repartitionByRange(ceil(n_rows / segment_rows), key, *order)
@@ -58,3 +61,34 @@ def split_hot_keys(
     )
     hot = as_table(hot, fresh_folder(df.sparkSession, "hot-keys"))
     return Split(df.join(keys, key, "left_anti"), hot)
+
+
+def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame | None:
+    """``key, count`` of the keys with more than ``rows`` rows, as a table; None without any.
+
+    Tasks hand on sketches of frequent items, at most ``_PARTS * _TRACKED`` keys each, where a
+    count of all keys would shuffle every key of every task. What a sketch says is never below
+    the true count, so only keys it puts above ``rows`` are counted exactly. A key of more than
+    one in 37,000 rows is surely found (one in 580 of its part's, where parts are uneven), so
+    all are up to 190 billion rows at the usual ``rows``; beyond that a lesser one may be passed
+    over, is then worked on whole, and costs time but changes no result. NULL is no key.
+    """
+    part = F.pmod(F.xxhash64(key), F.lit(_PARTS))
+    found = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(part.alias("part"))
+        .agg(F.expr(f"approx_top_k(`{key}`, {_TRACKED}, {_TRACKED})").alias("top"))
+        .select(F.inline("top"))
+        .filter(F.col("count") > rows)
+        .select(F.col("item").alias(key))
+    )
+    # No more than the sketches track.
+    candidates = found.collect()
+    if not candidates:
+        return None
+    spark = df.sparkSession
+    listed = as_table(
+        spark.createDataFrame(candidates, found.schema), fresh_folder(spark, "hot-key-candidates"))
+    counts = df.join(listed, key, "left_semi").groupBy(key).count().filter(F.col("count") > rows)
+    counts = as_table(counts, fresh_folder(spark, "hot-key-counts"))
+    return None if counts.isEmpty() else counts

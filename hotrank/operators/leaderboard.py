@@ -19,7 +19,6 @@ RUN_ROWS = 100_000
 _BEFORE_ALL = -(1 << 63)
 # Up to this many places the planner itself cuts each task's rows before the shuffle.
 _PLANNER_LIMIT = 1000
-_SHARES = 64
 
 
 def empty_board(spark: SparkSession) -> DataFrame:
@@ -32,14 +31,16 @@ def top_n(scores: DataFrame, n: int = BOARD_SIZE) -> DataFrame:
     Rows without a category are dropped; the empty category is one like any other. The planner
     keeps at most ``n`` rows per category and task before it shuffles by category, so a
     category with most of the rows costs no more than ``n`` rows per task. It does so for short
-    rankings only; for long ones each category is first cut down share by share.
+    rankings only; for long ones each task's rows are first cut down apart, so that no group of
+    the cut is larger than a task's input and their number grows with the data.
     """
     order = [F.desc("score"), member_text(F.col("creation_id")).desc()]
     scores = scores.filter(F.col("category").isNotNull())
     if n > _PLANNER_LIMIT:
-        share = F.pmod(F.xxhash64("creation_id"), F.lit(_SHARES))
-        best = Window.partitionBy("category", share).orderBy(*order)
+        best = Window.partitionBy("category", "_share").orderBy(*order)
+        scores = scores.withColumn("_share", F.spark_partition_id())
         scores = scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
+        scores = scores.drop("_share", "rank")
     best = Window.partitionBy("category").orderBy(*order)
     return scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 

@@ -40,17 +40,25 @@ def read_batch(spark: SparkSession, options: KafkaSourceOptions) -> DataFrame:
 def sequence_number(topics: list[str]):
     """``arrival_seq`` of a Kafka row: topic, then partition, then offset, in one bigint.
 
-    Holds 32 topics, 16384 partitions and 2^44 offsets per partition.
+    Holds 32 topics, 16384 partitions and 2^44 offsets per partition; a row beyond ends the query,
+    since its place among the others would be wrong.
     """
     if len(topics) > 32:
         raise ValueError("at most 32 topics per source")
     names = F.array(*[F.lit(t) for t in topics])
     topic = F.array_position(names, F.col("topic")) - 1
-    return (
+    packed = (
         F.shiftleft(topic.cast("long"), 58)
         .bitwiseOR(F.shiftleft(F.col("partition").cast("long"), 44))
         .bitwiseOR(F.col("offset"))
     )
+    fits = (
+        (topic >= 0) & F.col("partition").between(0, (1 << 14) - 1)
+        & F.col("offset").between(0, (1 << 44) - 1)
+    )
+    place = F.concat_ws(" ", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    beyond = F.raise_error(F.concat(F.lit("no place in the order of arrival: "), place))
+    return F.when(fits, packed).otherwise(beyond.cast("long"))
 
 
 def with_arrival(raw: DataFrame, topics: list[str], clock: str = "processing") -> DataFrame:

@@ -101,6 +101,13 @@ def test_sequence_numbers_follow_topic_partition_offset(spark):
     assert len({r.arrival_seq for r in found}) == 5
 
 
+@pytest.mark.parametrize("row", [("a", 1 << 14, 0), ("a", 0, 1 << 44), ("c", 0, 0)])
+def test_rows_without_a_place_in_the_order_end_the_query(spark, row):
+    df = spark.createDataFrame([row], "topic string, partition int, offset bigint")
+    with pytest.raises(Exception, match="no place in the order of arrival"):
+        df.select(kafka.sequence_number(["a", "b"])).collect()
+
+
 def test_names_of_sorted_sets(spark):
     row = spark.range(12, 13).select(ranking_key(F.lit("news")), member_text(F.col("id"))).first()
     assert tuple(row) == ("hot:news", "12")

@@ -119,6 +119,15 @@ def test_every_key_above_the_threshold_is_split(spark):
     assert found == pytest.approx(by_model(keyed, TEN_MINUTES, "arrival"), abs=1e-9)
 
 
+def test_hot_keys_are_counted_exactly_or_not_at_all(spark):
+    ids = "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 5 = 0 THEN NULL ELSE 100 + id END AS creation_id"
+    df = spark.range(300_000).selectExpr(ids)
+    found = hotkeys.hot_keys(df, "creation_id", 50_000)
+    assert [tuple(r) for r in found.collect()] == [(7, 100_000)]
+    assert hotkeys.hot_keys(df, "creation_id", 100_000) is None
+    assert hotkeys.hot_keys(df.limit(0), "creation_id", 1) is None
+
+
 def test_one_exchange_without_hot_keys(spark):
     made = spark.createDataFrame([], ARRIVED_CREATION)
     df = actions(spark, [(1, 0, 2)])
