@@ -223,6 +223,30 @@ SELECT *, row_number() OVER (batch ORDER BY arrival_seq) - 1 AS place, count(*)
 FROM ({EVENT_ACTIONS})
 WINDOW batch AS (PARTITION BY user_id, arrival_seq // {BLOCK})"""
 
+# Four files by arrival, those of every seventh user one file too late. A file's rows are late when
+# they arrive no later than anything sound in the files before it.
+_LATE_PLACES = f"""
+WITH placed AS (
+  SELECT m.*, user_id % 5 = 3 AS spoilt,
+         least(3, CAST(arrival_us >= epoch_us(TIMESTAMP '2024-01-08') AS INT)
+           + CAST(arrival_us >= epoch_us(TIMESTAMP '2024-01-15') AS INT)
+           + CAST(arrival_us >= epoch_us(TIMESTAMP '2024-01-22') AS INT)
+           + CAST(user_id % 7 = 0 AS INT)) AS part
+  FROM ({_MESSAGE_ACTIONS}) m
+), marks AS (
+  SELECT part, max(max(arrival_us)) OVER (
+           ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) // 1000 * 1000 AS mark
+  FROM (SELECT part, arrival_us FROM placed WHERE NOT spoilt
+        UNION ALL
+        SELECT CAST(arrival_us >= epoch_us(TIMESTAMP '2024-01-08') AS INT)
+           + CAST(arrival_us >= epoch_us(TIMESTAMP '2024-01-15') AS INT)
+           + CAST(arrival_us >= epoch_us(TIMESTAMP '2024-01-22') AS INT), arrival_us
+        FROM ({EVENT_VERSIONS}))
+  GROUP BY part
+)
+SELECT p.* EXCLUDE (part), arrival_us <= coalesce(mark, 0) AS late
+FROM placed p LEFT JOIN marks USING (part)"""
+
 # Creations forgotten after twelve quiet hours: an island of rows counts as a key of its own.
 _ISLANDS = f"""
 times AS (
@@ -381,6 +405,21 @@ QUALIFY row_number() OVER (PARTITION BY category, creation_id ORDER BY window_en
     "stream_micro_batches": _select(*_EXPIRING, select="SELECT * FROM windowed"),
     "stream_equals_batch": _select(*_EVENT_WINDOWS, select="SELECT * FROM windowed"),
     "stream_board": _with(*_EVENT_WINDOWS, _board(3), recursive=True),
+    "intake_quarantine": f"""
+WITH p AS ({_LATE_PLACES})
+SELECT 'action_batch' AS source, 'late' AS reason, count(*) AS n FROM p WHERE late AND NOT spoilt
+UNION ALL
+SELECT 'action_batch', 'malformed_json', count(*)
+FROM (SELECT DISTINCT user_id, arrival_seq FROM p WHERE spoilt)""",
+    "intake_windows": _select(
+        _cte("actions", f"SELECT * EXCLUDE (late, spoilt) FROM ({_LATE_PLACES}) WHERE NOT (late OR spoilt)"),
+        _cte("versions", EVENT_VERSIONS),
+        _ENRICHED,
+        _scored_by_arrival("enriched", EVENT_RATE),
+        _latest(DAY),
+        _windowed(EVENT_RATE),
+        select="SELECT * FROM windowed",
+    ),
     "job_from_messages": _with(
         _cte("actions", _MESSAGE_ACTIONS),
         _cte("versions", EVENT_VERSIONS),

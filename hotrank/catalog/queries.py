@@ -20,7 +20,8 @@ from hotrank.plans import ranking
 from hotrank.session import fresh_folder
 from hotrank.sources import decode, kafka
 from hotrank.streaming.board import BoardTable
-from hotrank.streaming.pipeline import ranking_stream, start
+from hotrank.streaming.intake import Intake, decoded
+from hotrank.streaming.pipeline import ranking_from_intake, ranking_stream, start
 from hotrank.streaming.scores import score_stream, slice_of, windowed_stream
 
 # Order lines lie days apart, events hours.
@@ -32,6 +33,7 @@ DAY = timedelta(days=1)
 STREAM_BOARD = 3
 QUIET = timedelta(hours=12)
 SLICES = 4
+LATE_CUTS = ("2024-01-08", "2024-01-15", "2024-01-22")
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -404,6 +406,60 @@ def job_from_messages(spark, sf):
     return board.read(spark)
 
 
+def _late_intake(spark, sf):
+    """Messages in ``SLICES`` files by arrival, those of every seventh user one file too late.
+
+    One file of each topic is a micro-batch, and no delay is allowed for: late is what arrives no
+    later than something in an earlier file. One user's messages in five are not JSON.
+    """
+    folder = fresh_folder(spark, "late")
+    made = messages.creation_messages(tables.part_versions(spark, sf))
+    done = messages.action_messages(messages.packed_lists(tables.event_actions(spark, sf)))
+    part = sum((F.col("timestamp") >= F.lit(x).cast("timestamp")).cast("int") for x in LATE_CUTS)
+    names = F.regexp_replace(F.col("value").cast("string"), "(?i)user[-_]?id", "user")
+    user = F.get_json_object(names, "$.user").cast("long")
+    behind = (F.pmod(user, F.lit(7)) == 0).cast("int")
+    spoilt = F.pmod(user, F.lit(5)) == 3
+    value = F.when(spoilt, F.substring("value", 2, 1 << 30)).otherwise(F.col("value"))
+    topics = {
+        "creations": made.withColumn("part", part),
+        "actions": done.withColumn("part", F.least(part + behind, F.lit(SLICES - 1)))
+        .withColumn("value", value),
+    }
+    far = F.lit("2100-01-01 00:00:00").cast("timestamp")
+    ticks = spark.range(1).select(far.alias("arrival_ts"))
+    raw = []
+    for topic, rows in topics.items():
+        for i in range(SLICES):
+            rows.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(
+                f"{folder}/{topic}")
+        reader = spark.readStream.schema(rows.drop("part").schema).option("maxFilesPerTrigger", 1)
+        raw.append(kafka.with_arrival(reader.parquet(f"{folder}/{topic}"), [topic], "kafka"))
+    for i in range(SLICES + 1):
+        ticks.filter(F.lit(i == SLICES)).coalesce(1).write.mode("append").parquet(f"{folder}/ticks")
+    closing = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 1)
+    intake = Intake(f"{folder}/intake", EVENT_HALF_LIFE, slice_size=slice_of(DAY))
+    rows = decoded(*raw, ticks=closing.parquet(f"{folder}/ticks"))
+    intake.start(rows, f"{folder}/intake-checkpoint").awaitTermination()
+    return intake
+
+
+def intake_quarantine(spark, sf):
+    """Rows the intake leaves out: unsound messages, and actions that come too late."""
+    left_out = _late_intake(spark, sf).quarantine(spark)
+    return left_out.groupBy("source", "reason").agg(F.count("*").alias("n"))
+
+
+def intake_windows(spark, sf):
+    """Scores of what the intake publishes: late actions neither count nor are dropped here."""
+    options = RankingOptions(
+        *[KafkaSourceOptions("unused:9092", ["unused"], "unused")] * 2, window_size=DAY,
+        score_half_life=EVENT_HALF_LIFE, window_half_life=EVENT_HALF_LIFE,
+    )
+    return _rounded(
+        _collected(spark, ranking_from_intake(_late_intake(spark, sf), spark, options)))
+
+
 QUERIES = {
     "decode_creations": decode_creations,
     "decode_quarantine_counts": decode_quarantine_counts,
@@ -429,4 +485,6 @@ QUERIES = {
     "stream_micro_batches": stream_micro_batches,
     "stream_board": stream_board,
     "job_from_messages": job_from_messages,
+    "intake_quarantine": intake_quarantine,
+    "intake_windows": intake_windows,
 }

@@ -55,6 +55,7 @@ SCORE_COLUMNS = ["creation_id", "category", "score", "last_action_ts"]
 WINDOWED_COLUMNS = [*SCORE_COLUMNS, "window_start", "window_end"]
 BOARD_COLUMNS = ["category", "creation_id", "score", "window_end", "rank"]
 QUARANTINE_COLUMNS = ["source", "reason", "raw"]
+QUARANTINE = T.StructType([T.StructField(name, T.StringType()) for name in QUARANTINE_COLUMNS])
 
 BOARD = T.StructType([
     T.StructField("category", T.StringType()),

@@ -15,7 +15,8 @@ from hotrank.operators import actions as split
 from hotrank.options import RankingOptions
 from hotrank.sources import decode, kafka
 from hotrank.streaming.board import BoardTable, mirror_board
-from hotrank.streaming.scores import LateRows, score_stream, slice_of, windowed_stream
+from hotrank.streaming.intake import Intake, decoded
+from hotrank.streaming.scores import LateRows, score_rows, score_stream, slice_of, windowed_stream
 
 
 def decoded_inputs(
@@ -52,6 +53,17 @@ def ranking_stream(
     return windowed_stream(scored, options.window_size, options.window_half_life)
 
 
+def ranking_from_intake(
+    intake: Intake,
+    spark: SparkSession,
+    options: RankingOptions,
+    state_ttl: timedelta | int | None = None,
+) -> DataFrame:
+    """Windowed decayed scores of what an intake publishes."""
+    scored = score_rows(intake.rows(spark), options.score_half_life, intake.delay, state_ttl)
+    return windowed_stream(scored, options.window_size, options.window_half_life)
+
+
 def start(
     windows: DataFrame,
     board: BoardTable,
@@ -84,10 +96,13 @@ def start(
 
 @dataclass
 class RankingJob:
-    """The running job: the query that keeps the board, and the one that keeps bad input."""
+    """The running job: the query that keeps the board, and the one that keeps bad input.
+
+    With an intake that one also decodes for the other.
+    """
 
     spark: SparkSession
-    ranking: StreamingQuery
+    ranking: StreamingQuery | None
     quarantine: StreamingQuery | None
     late: LateRows
 
@@ -122,6 +137,7 @@ def build_pipeline(
     connect: Callable | None = None,
     state_ttl: timedelta | int | None = None,
     quarantine_path: str | None = None,
+    intake_path: str | None = None,
 ) -> RankingJob:
     """Starts the job on Kafka.
 
@@ -134,6 +150,11 @@ def build_pipeline(
     ``-quarantine``) by a query of its own, whose checkpoint lies beside the job's, unless
     ``on_malformed="fail"`` lets it end the job.
 
+    With ``intake_path`` an intake (``streaming.intake``) reads and decodes each topic once and
+    publishes micro-batches below that path, which the ranking then reads; late rows are kept in
+    its quarantine beside the unsound ones instead of being dropped, and ``quarantine_path`` goes
+    unused. The price is one more write and read of the decoded rows, hot creations shrunk.
+
     Both sources bounded: the call reads up to the latest offsets, closes every window, and
     returns when all is written. Its checkpoint is then finished and refused by later runs, whose
     rows would all be late; a run that was cut short may be started again.
@@ -159,24 +180,44 @@ def build_pipeline(
         ticks = heartbeat(spark) if clock == "processing" else None
     late = LateRows()
     spark.streams.addListener(late)
-    bad = None
-    if options.on_malformed == "quarantine":
-        bad = start_quarantine(
+    # Under the wall clock a micro-batch has one time, and tasks combine it; else slices do.
+    slice_size = None if clock == "processing" else slice_of(options.window_size)
+    if intake_path is not None:
+        if state_ttl is not None and slice_size is not None and millis(state_ttl) < slice_size:
+            raise ValueError("a slice is not longer than the time creations are remembered")
+        intake = Intake(intake_path, options.score_half_life, delay, True, slice_size)
+        rows = decoded(*raw, options.on_malformed, ticks)
+        windows = ranking_from_intake(intake, spark, options, state_ttl)
+    else:
+        windows = ranking_stream(
+            *raw, options, delay, combine=True, ticks=ticks, state_ttl=state_ttl,
+            slice_size=slice_size,
+        )
+
+    def start_beside() -> StreamingQuery | None:
+        if intake_path is not None:
+            interval = None if bounded else options.trigger_interval
+            return intake.start(rows, f"{checkpoint}-intake", interval)
+        if options.on_malformed != "quarantine":
+            return None
+        return start_quarantine(
             quarantine(*raw), quarantine_path or f"{board_path}-quarantine",
             f"{checkpoint}-quarantine", options, once=bounded,
         )
-    # Under the wall clock a micro-batch has one time, and tasks combine it; else slices do.
-    windows = ranking_stream(
-        *raw, options, delay, combine=True, ticks=ticks, state_ttl=state_ttl,
-        slice_size=None if clock == "processing" else slice_of(options.window_size),
-    )
+
     board = BoardTable(board_path, options.board_size)
-    query = start(windows, board, checkpoint, options, connect, bounded)
-    job = RankingJob(spark, query, bad, late)
+    job = RankingJob(spark, None, start_beside(), late)
+    if bounded and intake_path is not None:
+        # The ranking then finds all that was published.
+        job.quarantine.awaitTermination()
+    job.ranking = start(windows, board, checkpoint, options, connect, bounded)
     if bounded:
         job.awaitTermination()
         # All rows are in: a tick beyond every window lets the rest out.
         closing.write()
+        if intake_path is not None:
+            job.quarantine = start_beside()
+            job.quarantine.awaitTermination()
         job.ranking = start(windows, board, checkpoint, options, connect, bounded)
         job.awaitTermination()
         closing.finish()

@@ -105,7 +105,7 @@ def _arrivals() -> list:
     return [us.alias("arrival_us"), us.alias("from_us"), us.alias("until_us")]
 
 
-def _silent(ticks: DataFrame) -> DataFrame:
+def silent(ticks: DataFrame) -> DataFrame:
     """Ticks as versions of a creation that nobody acts on."""
     return _creation_rows(
         ticks.select(
@@ -195,23 +195,42 @@ def score_stream(
     ``slice_size`` (a part of the window that all windows are made up of, and not above
     ``state_ttl``) in tasks of their own. After ``state_ttl`` without a row for it a creation is forgotten.
     """
+    if slice_size is not None and state_ttl is not None and millis(state_ttl) < millis(slice_size):
+        raise ValueError("a slice is not longer than the time creations are remembered")
+    rows = combined(stream_timeline(creations, actions), half_life, combine, slice_size)
+    if ticks is not None:
+        rows = rows.unionByName(silent(ticks))
+    return score_rows(rows, half_life, delay, state_ttl, shards)
+
+
+def combined(
+    rows: DataFrame, half_life: timedelta | int, combine: bool = False,
+    slice_size: timedelta | int | None = None,
+) -> DataFrame:
+    """A timeline whose hot creations are shrunk in one of the two ways, or as it is."""
+    rate = decay_rate(half_life)
+    send_by_value()
+    if slice_size is not None:
+        return combine_in_slices(rows, rate, millis(slice_size) * 1000)
+    return combine_in_tasks(rows, rate) if combine else rows
+
+
+def score_rows(
+    rows: DataFrame,
+    half_life: timedelta | int,
+    delay: str = "0 seconds",
+    state_ttl: timedelta | int | None = None,
+    shards: int = SHARDS,
+) -> DataFrame:
+    """Scored actions of one stream of timeline rows."""
     rate = decay_rate(half_life)
     # The only provider that can hold this operator's state; it keeps it on disk.
-    creations.sparkSession.conf.set(
+    rows.sparkSession.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     send_by_value()
-    rows = stream_timeline(creations, actions)
     ttl_ms = None if state_ttl is None else millis(state_ttl)
-    if slice_size is not None:
-        if ttl_ms is not None and ttl_ms < millis(slice_size):
-            raise ValueError("a slice is not longer than the time creations are remembered")
-        rows = combine_in_slices(rows, rate, millis(slice_size) * 1000)
-    elif combine:
-        rows = combine_in_tasks(rows, rate)
-    if ticks is not None:
-        rows = rows.unionByName(_silent(ticks))
     return (
         rows.withColumn("shard", F.pmod(F.xxhash64("creation_id"), F.lit(shards)).cast("int"))
         .withWatermark("arrival_ts", delay)

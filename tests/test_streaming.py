@@ -17,6 +17,7 @@ from hotrank.plans import ranking
 from hotrank.schemas import ARRIVED_ACTION, ARRIVED_CREATION
 from hotrank.streaming import fold, pipeline, scores
 from hotrank.streaming.board import BoardTable
+from hotrank.streaming.intake import Intake, decoded
 from model import at
 from model import fold as model_fold
 
@@ -143,6 +144,49 @@ def test_late_rows_are_counted(spark, tmp_path):
     assert scores.dropped_rows(files.run()) == 1
 
 
+def test_an_intake_keeps_what_spark_would_drop(spark, tmp_path):
+    """Its late rows are as many as score_stream drops; a batch that runs again changes nothing."""
+    import json
+
+    files = Files(spark, tmp_path)
+    first = [(1, 2, 1, i, at(HOUR + i), i, 0) for i in range(5)]
+    then = [(1, 2, 1, 9, at(t), 100 + t, 0) for t in (HOUR, HOUR + 4, HOUR + 5, 2 * HOUR)]
+    made = [(1, None, "x", 1, at(HOUR), 0)]
+    files.add("made", made, ARRIVED_CREATION)
+    files.add("done", first, ARRIVED_ACTION)
+    files.run()
+    files.add("done", then, ARRIVED_ACTION)
+    dropped = scores.dropped_rows(files.run())
+
+    def raw(rows, text):
+        found = [(bytearray(json.dumps(text(r)).encode()), r[4], r[5]) for r in rows]
+        return spark.createDataFrame(found, "value binary, arrival_ts timestamp, arrival_seq long")
+
+    creation = lambda r: {"creationId": r[0], "category": r[2]}
+    action = lambda r: {
+        "actionTypeList": f"{r[1]}", "creationIdList": f"{r[2]}", "timestampList": f"{r[3]}", "userId": 1}
+    intake = Intake(str(tmp_path / "intake"), HALF_LIFE)
+    batches = [decoded(raw(made, creation), raw(first, action)), decoded(raw([], creation), raw(then, action))]
+    for _ in range(2):
+        for i, batch in enumerate(batches):
+            intake.write_batch(batch, i)
+    left_out = intake.quarantine(spark).collect()
+    assert dropped == 2 == len(left_out)
+    assert {(r.source, r.reason) for r in left_out} == {("action_batch", "late")}
+    # A batch cut short before it was published judges its rows as it did the first time.
+    import shutil
+
+    shutil.rmtree(tmp_path / "intake" / "rows" / "1")
+    intake.write_batch(batches[1], 1)
+    assert len(intake.quarantine(spark).collect()) == 2
+    assert spark.read.parquet(f"{intake.path}/rows/1").count() == 2
+    # An allowance lets them in.
+    patient = Intake(str(tmp_path / "patient"), HALF_LIFE, "10 minutes")
+    for i, batch in enumerate(batches):
+        patient.write_batch(batch, i)
+    assert patient.quarantine(spark).count() == 0
+
+
 def test_raw_messages_to_board(spark, tmp_path):
     """Decoding, splitting, scoring, windows and the board in one stream."""
     made, done = history()
@@ -335,7 +379,8 @@ def kafka_options(bounded, **more):
     return RankingOptions(*sources, score_half_life=HALF_LIFE, window_half_life=HALF_LIFE, **more)
 
 
-def test_bounded_job_in_broker_time(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("with_intake", [False, True])
+def test_bounded_job_in_broker_time(spark, tmp_path, monkeypatch, with_intake):
     made, done = history()
     read_stream, read_batch = kafka_files(spark, tmp_path, made, done)
     monkeypatch.setattr(pipeline.kafka, "read_stream", read_stream)
@@ -344,7 +389,8 @@ def test_bounded_job_in_broker_time(spark, tmp_path, monkeypatch):
     board_path = str(tmp_path / "board")
     checkpoint = str(tmp_path / "checkpoint")
     job = pipeline.build_pipeline(
-        spark, options, board_path, checkpoint, clock="kafka", delay="0 seconds"
+        spark, options, board_path, checkpoint, clock="kafka", delay="0 seconds",
+        intake_path=str(tmp_path / "intake") if with_intake else None,
     )
     assert job.exception() is None and job.dropped_rows() == 0
     with pytest.raises(ValueError, match="finished"):
@@ -369,7 +415,8 @@ def test_bounded_job_in_broker_time(spark, tmp_path, monkeypatch):
     assert best == pytest.approx(stateless)
 
 
-def test_bounded_job_on_the_wall_clock(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("with_intake", [False, True])
+def test_bounded_job_on_the_wall_clock(spark, tmp_path, monkeypatch, with_intake):
     """The board is there when the call returns, and bad messages lie in quarantine."""
     from hotrank.schemas import RAW
 
@@ -380,10 +427,16 @@ def test_bounded_job_on_the_wall_clock(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(pipeline.kafka, "read_stream", read_stream)
     options = kafka_options(True)
     board_path = str(tmp_path / "board")
-    pipeline.build_pipeline(spark, options, board_path, str(tmp_path / "checkpoint"))
+    intake_path = str(tmp_path / "intake") if with_intake else None
+    pipeline.build_pipeline(
+        spark, options, board_path, str(tmp_path / "checkpoint"), intake_path=intake_path
+    )
     found = BoardTable(board_path).read(spark).collect()
     assert {(r.category, r.creation_id) for r in found} == {(f"d{k % 2}", k) for k in range(6)}
-    left_out = spark.read.parquet(f"{board_path}-quarantine").collect()
+    if with_intake:
+        left_out = Intake(intake_path, HALF_LIFE).quarantine(spark).collect()
+    else:
+        left_out = spark.read.parquet(f"{board_path}-quarantine").collect()
     assert [tuple(r) for r in left_out] == [("action_batch", "malformed_json", "{bad")]
 
 
