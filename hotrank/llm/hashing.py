@@ -47,13 +47,17 @@ def word_hashes(text: bytes) -> np.ndarray:
 
 
 def runs(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
-    """Hash of each ``size`` consecutive words."""
+    """Hash of each ``size`` consecutive words; each seed has a multiplier of its own.
+
+    So words that collide under one seed do not for that reason collide under another.
+    """
     n = len(words) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
+    step = mixed(np.array([seed], np.uint64)) | np.uint64(1) if seed else _STEP
     found = np.full(n, seed, np.uint64)
     for i in range(size):
-        found = found * _STEP + words[i : i + n]
+        found = found * step + words[i : i + n]
     return mixed(found)
 
 

@@ -6,6 +6,7 @@ import math
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from hotrank.llm import ann, bpe, chat, licenses, lm, mixing, near_dedup, substring_dedup, topk
@@ -340,6 +341,19 @@ def test_mixing(docs, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def test_windows_that_collide_by_one_seed_differ_by_another():
+    from hotrank.llm.hashing import mixed, runs
+
+    words = np.arange(100, 120, dtype=np.uint64)
+    step = mixed(np.array([3], np.uint64)) | np.uint64(1)
+    other = words.copy()
+    # One more before the last word weighs as much as the multiplier on the last.
+    other[-2:-1] += np.uint64(1)
+    other[-1:] -= step
+    assert runs(words, 20, 3) == runs(other, 20, 3)
+    assert runs(words, 20, 4) != runs(other, 20, 4)
+
+
 def test_substrings(docs, nothing):
     seen, want = set(), []
     for i, t in sorted(((i, t) for i, t in dict(TEXTS).items()), key=lambda x: (x[0] is not None, x[0])):
