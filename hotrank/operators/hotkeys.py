@@ -68,10 +68,11 @@ def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame | None:
 
     Tasks hand on sketches of frequent items, at most ``_PARTS * _TRACKED`` keys each, where a
     count of all keys would shuffle every key of every task. What a sketch says is never below
-    the true count, so only keys it puts above ``rows`` are counted exactly. A key of more than
-    one in 37,000 rows is surely found (one in 580 of its part's, where parts are uneven), so
-    all are up to 190 billion rows at the usual ``rows``; beyond that a lesser one may be passed
-    over, is then worked on whole, and costs time but changes no result. NULL is no key.
+    the true count, so only keys it puts above ``rows`` are counted exactly. By the sketch's
+    published error bound a key of more than one in 580 rows of its part is found: where parts are
+    even, one in 37,000 of all, hence all keys of up to 190 billion rows at the usual ``rows``. Beyond
+    that, or beside a very hot key of its part, a lesser one may be passed over; it is then
+    worked on whole, which costs time but changes no result. NULL is no key.
     """
     part = F.pmod(F.xxhash64(key), F.lit(_PARTS))
     found = (
