@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,46 @@ def piece_scores(path: str | None = None) -> list[tuple[str, float]]:
     return [(piece, math.log(weight) + mass) for piece, weight in found.items()]
 
 
+def learnt_pieces(pieces: list[tuple[str, float]], counts: dict[str, int]) -> list[tuple[str, float]]:
+    """``pieces`` weighed by how often words learnt from are cut into them.
+
+    A piece never used keeps its given share of one count, so that nothing becomes impossible.
+    """
+    given = sum(math.exp(log_p) for _, log_p in pieces)
+    weights = [counts.get(piece, 0) + math.exp(log_p) / given for piece, log_p in pieces]
+    mass = math.log((1 - _BYTES) / sum(weights))
+    return [(piece, math.log(weight) + mass) for (piece, _), weight in zip(pieces, weights)]
+
+
+def _model_bytes(path: str | None) -> bytes:
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(VOCABULARY)
+    with open(path, "rb") as file:
+        return file.read()
+
+
+def _cut(shared):
+    """How often the words of a task, each taken once, are cut into each piece."""
+
+    def run(batches):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
+        counts = np.zeros(model.get_piece_size(), np.int64)
+        for batch in small(batches, 4 << 20):
+            cut = model.encode(batch.column("token").to_pylist())
+            counts += np.bincount(
+                np.fromiter(chain.from_iterable(cut), np.int64), minlength=len(counts))
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.id_to_piece(int(i)) for i in used], pa.string()), pa.array(counts[used])],
+            names=["piece", "uses"])
+
+    return run
+
+
 class Lattice:
     """Marginal log probability of words over all their segmentations."""
 
@@ -164,7 +206,7 @@ def _score_head(shared, end):
 
 def score_texts(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    remainder: int = 1, vocabulary: str | None = None,
+    remainder: int = 1, vocabulary: str | None = None, learn: bool = False,
 ) -> DataFrame:
     """Base and model scores of every whole text; one row per row of ``docs``.
 
@@ -175,6 +217,12 @@ def score_texts(
     scores. As no piece passes a blank, a text's marginal is the product of its words', and the
     forward recursion runs once per distinct word of the corpus.
 
+    With ``learn`` the lattice is fitted to the rows learnt from. Every word of theirs is a piece as
+    well, one that ends its word, so just one segmentation more; it weighs its count less a
+    discount. What the discounts free is for words spelt in pieces of the vocabulary, which weigh
+    as often as the words learnt from, each taken once, are cut into them. ``score`` is the
+    marginal over all segmentations as before.
+
     Every word of the corpus is counted: inside tasks first, then by shuffle. Words of at least
     1 / ``HEAD`` of all occurrences, of which there can be ``HEAD`` at most, are broadcast; the
     others, none of which is hot, meet their counts in a join. Null and empty texts are one end.
@@ -184,38 +232,56 @@ def score_texts(
     context = spark.sparkContext
     held_out = F.coalesce(fold() == remainder, F.lit(False)).alias("held_out")
     rows = pick(docs, doc_id=id_col, text=text_col).select("doc_id", held_out, "text")
-    pieces = context.broadcast(piece_scores(vocabulary))
+    pieces = piece_scores(vocabulary)
     words = as_table(
         rows.select("held_out", "text").mapInArrow(_count, "token string, n long, c long")
-        .groupBy("token").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
-        .mapInArrow(_spelt(pieces), "token string, n long, c long, log_l double"),
-        fresh_folder(spark, "lm-words"),
+        .groupBy("token").agg(F.sum("n").alias("n"), F.sum("c").alias("c")),
+        fresh_folder(spark, "lm-counts"),
     )
     sums = words.agg(
         F.sum("n").alias("all"), F.sum("c").alias("learnt"),
         F.count(F.when(F.col("c") > 0, 1)).alias("distinct"),
+        F.count(F.when(F.col("c") == 1, 1)).alias("once"),
+        F.count(F.when(F.col("c") == 2, 1)).alias("twice"),
     ).first()
+    if learn:
+        # No more rows than the vocabulary has pieces.
+        uses = words.where("c > 0").select("token").mapInArrow(
+            _cut(context.broadcast(_model_bytes(vocabulary))), "piece string, uses long")
+        counts = dict(uses.groupBy("piece").agg(F.sum("uses")).collect())
+        pieces = learnt_pieces(pieces, counts)
+    words = as_table(
+        words.mapInArrow(
+            _spelt(context.broadcast(pieces)), "token string, n long, c long, log_l double"),
+        fresh_folder(spark, "lm-words"),
+    )
     ends = rows.where("not held_out").count()
     n = (sums["learnt"] or 0) + ends
     distinct = sums["distinct"] + (ends > 0)
     under = math.log10(n + 0.5 * (distinct + 1))
-
-    def entry(c, log_l):
-        return int(c > 0), math.log10(c + 0.5) - under, log_l / math.log(10)
-
-    common = words.where(F.col("n") * HEAD >= (sums["all"] or 0)).select("token", "c", "log_l")
-    head = {t.encode(): entry(c, l) for t, c, l in common.collect()}
+    model, end = F.col("log_l") / math.log(10), _END
+    if learn:
+        # One count more for a word that is spelt, and one for an end.
+        off = min(0.9, max(0.1, sums["once"] / max(1, sums["once"] + 2 * sums["twice"])))
+        end = (ends + 1) / (n + 2)
+        spelt = model + math.log10((off * sums["distinct"] + 1) / (n + 2))
+        whole = F.log10((F.col("c") - off) / (n + 2))
+        both = F.greatest(spelt, whole) + F.log10(1 + F.pow(F.lit(10.0), -F.abs(spelt - whole)))
+        model = F.when(F.col("c") > 0, both).otherwise(spelt)
+    words = words.select(
+        "token", "n", (F.col("c") > 0).cast("long").alias("w_known"),
+        (F.log10(F.col("c") + 0.5) - under).alias("w_base"), model.alias("w_model"),
+    )
+    is_common = F.col("n") * HEAD >= (sums["all"] or 0)
+    head = {t.encode(): of for t, *of in words.where(is_common).drop("n").collect()}
     kind = rows.schema["doc_id"].dataType.simpleString()
+    of_end = int(ends > 0), math.log10(ends + 0.5) - under, math.log10(end)
     parts = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _score_head(context.broadcast(head), entry(ends, math.log(_END))),
+        _score_head(context.broadcast(head), of_end),
         "row long, token string, times long, known long, base double, model double, "
         f"n_tokens long, doc_id {kind}, held_out boolean",
     )
-    rare = words.where(F.col("n") * HEAD < (sums["all"] or 0)).select(
-        "token", (F.col("c") > 0).cast("long").alias("w_known"),
-        (F.log10(F.col("c") + 0.5) - under).alias("w_base"),
-        (F.col("log_l") / math.log(10)).alias("w_model"),
-    )
+    rare = words.where(~is_common).drop("n")
 
     def total(own, word):
         return F.sum(F.col(own) + F.col("times") * F.coalesce(F.col(word), F.lit(0)))
@@ -230,4 +296,4 @@ def score_texts(
 
 
 def op6_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return score_texts(read(spark, folder, "documents"))
+    return score_texts(read(spark, folder, "documents"), learn=True)

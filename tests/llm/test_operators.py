@@ -3,6 +3,7 @@
 import hashlib
 import json
 import math
+import random
 import re
 from itertools import combinations
 
@@ -301,6 +302,40 @@ def test_lm_scores_are_marginals_of_whole_texts(spark, monkeypatch):
         assert by[i].n_tokens == len(WORD.findall(lower(t))) + 1
 
 
+def test_lm_learns_from_its_fold(spark, monkeypatch):
+    """Held-out rows score about as by the base model, and every part of the sum is as described."""
+    import zlib
+    from collections import Counter
+
+    monkeypatch.setattr(lm, "HEAD", 20)  # words are common and rare
+    rng = random.Random(5)
+    words = ["".join(rng.choices(["on", "ti", "sha", "er", "ble", "nd"], k=rng.randint(1, 4))) for _ in range(300)]
+    texts = [(i, " ".join(rng.choices(words, [1 / (k + 1) for k in range(300)], k=60))) for i in range(200)]
+    texts += [(900, "zzyzx \u7530 7" * 400), (901, None), (902, "")]
+    rows = lm.score_texts(spark.createDataFrame(texts, "doc_id long, text string"), learn=True).collect()
+    assert len(rows) == len(texts) and all(math.isfinite(r.score) and r.score < 0 for r in rows)
+    held = [r for r in rows if r.held_out and r.doc_id < 900]
+    assert sum(r.score for r in held) > 1.1 * sum(r.base_score for r in held)
+    learnt = [t or "" for i, t in texts if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = Counter(w for t in learnt for w in t.split())
+    n, sizes = sum(counts.values()) + len(learnt), Counter(counts.values())
+    off = min(0.9, max(0.1, sizes[1] / max(1, sizes[1] + 2 * sizes[2])))
+    import public_tokenizers
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(lm.VOCABULARY))
+    uses = Counter(p for w in counts for p in model.encode(w, out_type=str))
+    lattice = lm.Lattice(lm.learnt_pieces(lm.piece_scores(), uses))
+
+    def word(w):
+        spelt = math.exp(lattice.log_marginal(w)) * (off * len(counts) + 1) / (n + 2)
+        return math.log10(spelt + max(0, counts[w] - off) / (n + 2))
+
+    for r in held:
+        want = sum(map(word, dict(texts)[r.doc_id].split())) + math.log10((len(learnt) + 1) / (n + 2))
+        assert r.score == pytest.approx(want)
+
+
 def test_lm_base_scores(docs, nothing):
     import zlib
     from collections import Counter
