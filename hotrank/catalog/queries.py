@@ -308,59 +308,81 @@ def _event_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
     return windowed_stream(scored, DAY, EVENT_HALF_LIFE)
 
 
-def _collected(spark, windows: DataFrame) -> DataFrame:
+class _Slices:
+    """Tables laid out by their ``part`` in one pass, and handed to streams part by part.
+
+    A part may have any number of files, so all tasks write it and read it; a run of the query up
+    to what is there then takes it as one micro-batch.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, rows: dict[str, DataFrame]):
+        self.spark, self.folder, self.schemas = spark, folder, {}
+        make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self.path = lambda name: make(f"{folder}/{name}")
+        self.fs = make(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for name, df in rows.items():
+            self.schemas[name] = df.drop("part").schema
+            df.write.partitionBy("part").parquet(f"{folder}/laid/{name}")
+            self.fs.mkdirs(self.path(f"in/{name}"))
+
+    def stream(self, name: str) -> DataFrame:
+        reader = self.spark.readStream.schema(self.schemas[name])
+        return reader.option("recursiveFileLookup", "true").parquet(f"{self.folder}/in/{name}")
+
+    def hand_over(self, part: int) -> None:
+        for name in self.schemas:
+            laid = self.path(f"laid/{name}/part={part}")
+            if self.fs.exists(laid) and not self.fs.rename(laid, self.path(f"in/{name}/{part}")):
+                raise OSError(f"could not hand over part {part} of {name}")
+
+
+def _collected(spark, windows: DataFrame, slices: _Slices | None = None) -> DataFrame:
+    """All rows of a stream; of ``slices`` one more part, with the closing tick, than ``SLICES``."""
     folder = fresh_folder(spark, "stream")
-    query = (
-        windows.writeStream.format("parquet")
-        .option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    for part in range(SLICES + 1 if slices else 1):
+        if slices:
+            slices.hand_over(part)
+        query = (
+            windows.writeStream.format("parquet")
+            .option("path", f"{folder}/out")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return spark.read.parquet(f"{folder}/out")
 
 
+def _closing_tick(spark: SparkSession) -> DataFrame:
+    far = F.lit("2100-01-01 00:00:00").cast("timestamp")
+    return spark.range(1).select(far.alias("arrival_ts"), F.lit(SLICES).alias("part"))
+
+
 def stream_equals_batch(spark, sf):
     return _rounded(_collected(spark, _event_windows_stream(spark, sf)))
 
 
 def stream_micro_batches(spark, sf):
-    """Both tables in ``SLICES`` files by arrival, one file of each in every micro-batch.
+    """Both tables in ``SLICES`` parts by arrival, one part of each in every micro-batch.
 
     State is carried from one to the next, hot creations are combined in slices of the day, and
     creations expire.
     """
-    folder = fresh_folder(spark, "sliced")
     actions, made = tables.event_actions(spark, sf), tables.part_versions(spark, sf)
     first, last = actions.agg(F.min("arrival_ts"), F.max("arrival_ts")).first()
     step = (last - first) / SLICES
-    cuts = [first + step * i for i in range(1, SLICES)]
-    inputs = {"actions": actions, "made": made}
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        for name, df in inputs.items():
-            if low is not None:
-                df = df.filter(F.col("arrival_ts") >= F.lit(low))
-            if high is not None:
-                df = df.filter(F.col("arrival_ts") < F.lit(high))
-            df.coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
-
-    def stream(name):
-        reader = spark.readStream.schema(inputs[name].schema).option("maxFilesPerTrigger", 1)
-        return reader.parquet(f"{folder}/{name}")
-
-    # One more micro-batch closes the last windows.
-    ticks = spark.range(1).select(F.lit(first).alias("arrival_ts"))
-    for i in range(SLICES):
-        ticks.coalesce(1).write.mode("append").parquet(f"{folder}/ticks")
-    far = F.lit("2100-01-01 00:00:00").cast("timestamp")
-    ticks.select(far.alias("arrival_ts")).coalesce(1).write.mode("append").parquet(f"{folder}/ticks")
-    inputs["ticks"] = ticks
+    part = sum((F.col("arrival_ts") >= F.lit(first + step * i)).cast("int") for i in range(1, SLICES))
+    slices = _Slices(spark, fresh_folder(spark, "sliced"), {
+        "actions": actions.withColumn("part", part),
+        "made": made.withColumn("part", part),
+        # One more micro-batch closes the last windows.
+        "ticks": _closing_tick(spark),
+    })
     scored = score_stream(
-        stream("made"), stream("actions"), EVENT_HALF_LIFE, state_ttl=QUIET,
-        ticks=stream("ticks"), slice_size=slice_of(DAY),
+        slices.stream("made"), slices.stream("actions"), EVENT_HALF_LIFE, state_ttl=QUIET,
+        ticks=slices.stream("ticks"), slice_size=slice_of(DAY),
     )
-    return _rounded(_collected(spark, windowed_stream(scored, DAY, EVENT_HALF_LIFE)))
+    return _rounded(_collected(spark, windowed_stream(scored, DAY, EVENT_HALF_LIFE), slices))
 
 
 def stream_board(spark, sf):
@@ -407,10 +429,10 @@ def job_from_messages(spark, sf):
 
 
 def _late_intake(spark, sf):
-    """Messages in ``SLICES`` files by arrival, those of every seventh user one file too late.
+    """Messages in ``SLICES`` parts by arrival, those of every seventh user one part too late.
 
-    One file of each topic is a micro-batch, and no delay is allowed for: late is what arrives no
-    later than something in an earlier file. One user's messages in five are not JSON.
+    One part of each topic is a micro-batch, and no delay is allowed for: late is what arrives no
+    later than something in an earlier part. One user's messages in five are not JSON.
     """
     folder = fresh_folder(spark, "late")
     made = messages.creation_messages(tables.part_versions(spark, sf))
@@ -421,26 +443,20 @@ def _late_intake(spark, sf):
     behind = (F.pmod(user, F.lit(7)) == 0).cast("int")
     spoilt = F.pmod(user, F.lit(5)) == 3
     value = F.when(spoilt, F.substring("value", 2, 1 << 30)).otherwise(F.col("value"))
-    topics = {
+    slices = _Slices(spark, folder, {
         "creations": made.withColumn("part", part),
         "actions": done.withColumn("part", F.least(part + behind, F.lit(SLICES - 1)))
         .withColumn("value", value),
-    }
-    far = F.lit("2100-01-01 00:00:00").cast("timestamp")
-    ticks = spark.range(1).select(far.alias("arrival_ts"))
-    raw = []
-    for topic, rows in topics.items():
-        for i in range(SLICES):
-            rows.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(
-                f"{folder}/{topic}")
-        reader = spark.readStream.schema(rows.drop("part").schema).option("maxFilesPerTrigger", 1)
-        raw.append(kafka.with_arrival(reader.parquet(f"{folder}/{topic}"), [topic], "kafka"))
-    for i in range(SLICES + 1):
-        ticks.filter(F.lit(i == SLICES)).coalesce(1).write.mode("append").parquet(f"{folder}/ticks")
-    closing = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 1)
+        "ticks": _closing_tick(spark),
+    })
+    raw = [
+        kafka.with_arrival(slices.stream(topic), [topic], "kafka") for topic in ("creations", "actions")
+    ]
     intake = Intake(f"{folder}/intake", EVENT_HALF_LIFE, slice_size=slice_of(DAY))
-    rows = decoded(*raw, ticks=closing.parquet(f"{folder}/ticks"))
-    intake.start(rows, f"{folder}/intake-checkpoint").awaitTermination()
+    rows = decoded(*raw, ticks=slices.stream("ticks"))
+    for i in range(SLICES + 1):
+        slices.hand_over(i)
+        intake.start(rows, f"{folder}/intake-checkpoint").awaitTermination()
     return intake
 
 

@@ -20,8 +20,15 @@ from hotrank.schemas import ARRIVAL_ORDER
 from hotrank.session import send_by_value
 from hotrank.streaming.fold import STRETCH, follow_all, stretches, stretches_of_slices
 
-_STATE = "category string, score double, last_ts bigint, seen_us bigint"
+#: Creations of one bucket, column by column.
+_STATE = (
+    "ids array<bigint>, category array<string>, score array<double>, last_ts array<bigint>, "
+    "seen_us array<bigint>"
+)
 STATE_NAME = "creations"
+#: Buckets of a shard, as a power of two. A bucket is read and written in one go, since every call
+#: to the state is a message to the JVM: a micro-batch sends as many as it touches buckets.
+BUCKET_BITS = 6
 #: Parts the state is kept in; a checkpoint goes on with the number it began with.
 SHARDS = 1024
 _SCORED = (
@@ -30,6 +37,21 @@ _SCORED = (
 )
 
 
+def _buckets(ids: np.ndarray) -> list[int]:
+    """Bucket of each creation, independent of its shard."""
+    mixed = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(64 - BUCKET_BITS)).astype(np.int64).tolist()
+
+
+def _held(value) -> dict[int, tuple]:
+    """States by creation of one bucket."""
+    return {} if value is None else {x: tuple(state) for x, *state in zip(*value)}
+
+
+def _packed(held: dict[int, tuple]) -> tuple:
+    return (list(held), *(list(column) for column in zip(*held.values())))
+
+
 class ScoreKeeper(StatefulProcessor):
     """Of every creation of a shard: its latest version, its score, its last action and arrival.
 
@@ -45,21 +67,32 @@ class ScoreKeeper(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getMapState(STATE_NAME, "creation_id bigint", _STATE)
+        self.state = handle.getMapState(STATE_NAME, "bucket int", _STATE)
+
+    def _keep(self, bucket: int, held: dict[int, tuple]) -> None:
+        if held:
+            self.state.updateValue((bucket,), _packed(held))
+        else:
+            self.state.removeKey((bucket,))
 
     def handleInputRows(self, key, rows, timerValues):
         rows = pd.concat(list(rows), ignore_index=True)
-        before = {
-            x: self.state.getValue((x,)) for x in np.unique(rows["creation_id"].to_numpy()).tolist()
-        }
+        ids = np.unique(rows["creation_id"].to_numpy())
+        of = dict(zip(ids.tolist(), _buckets(ids)))
+        buckets = {b: _held(self.state.getValue((b,))) for b in set(of.values())}
+        known = {x: buckets[b][x] for x, b in of.items() if x in buckets[b]}
         ttl_us = None if self.ttl_ms is None else self.ttl_ms * 1000
-        scored, after = follow_all(
-            rows, {x: state for x, state in before.items() if state is not None}, self.rate, ttl_us)
+        scored, after = follow_all(rows, known, self.rate, ttl_us)
+        changed = set()
         for creation, state in after.items():
             if state is not None:
-                self.state.updateValue((creation,), state)
-            elif before[creation] is not None:
-                self.state.removeKey((creation,))
+                buckets[of[creation]][creation] = state
+                changed.add(of[creation])
+            elif creation in known:
+                del buckets[of[creation]][creation]
+                changed.add(of[creation])
+        for bucket in changed:
+            self._keep(bucket, buckets[bucket])
         if self.ttl_ms is not None and not list(self.handle.listTimers()):
             left = [state[3] for state in after.values() if state is not None]
             if left:
@@ -69,10 +102,12 @@ class ScoreKeeper(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now, oldest = timerValues.getCurrentWatermarkInMs(), None
-        for (creation,), state in list(self.state.iterator()):
-            if state[3] // 1000 + self.ttl_ms < now:
-                self.state.removeKey((creation,))
-            else:
+        for (bucket,), value in list(self.state.iterator()):
+            held = _held(value)
+            left = {x: state for x, state in held.items() if state[3] // 1000 + self.ttl_ms >= now}
+            if len(left) < len(held):
+                self._keep(bucket, left)
+            for state in left.values():
                 oldest = state[3] if oldest is None else min(oldest, state[3])
         if oldest is not None:
             # Not for every creation by itself: a shard is looked through a few times per span.
@@ -257,11 +292,11 @@ def creation_states(spark: SparkSession, checkpoint: str) -> DataFrame:
         spark.read.format("statestore").option("stateVarName", STATE_NAME)
         .option("operatorId", keeper.operatorId).load(checkpoint)
     )
-    return held.select(
-        F.col("user_map_key.creation_id").alias("creation_id"),
-        "user_map_value.category", "user_map_value.score",
-        F.col("user_map_value.last_ts").alias("last_action_ts"), "user_map_value.seen_us",
-        F.col("key.shard").alias("shard"),
+    columns = [f"user_map_value.{name}" for name in ("ids", "category", "score", "last_ts", "seen_us")]
+    return held.select("key.shard", F.inline(F.arrays_zip(*columns))).toDF(
+        "shard", "creation_id", "category", "score", "last_action_ts", "seen_us"
+    ).select(
+        "creation_id", "category", "score", "last_action_ts", "seen_us", "shard",
     ).where(F.col("creation_id") != LONG_MIN)
 
 

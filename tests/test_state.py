@@ -182,3 +182,64 @@ def test_actions_without_id_are_set_aside(spark):
         assert enriched.where("creation_id is null").isEmpty()
         got = ranking.windowed(creations, actions, SIZE, HALF_LIFE, HALF_LIFE, segment_rows=segment_rows)
         assert by_key(got) == pytest.approx(by_key(in_batch(spark, made, done)), abs=1e-9)
+
+
+def test_state_is_sent_by_bucket_not_by_creation():
+    """Every call to the state is a message: there are no more than buckets, however many creations."""
+
+    class Held:
+        def __init__(self):
+            self.rows, self.calls = {}, 0
+
+        def getValue(self, key):
+            self.calls += 1
+            return self.rows.get(key)
+
+        def updateValue(self, key, value):
+            self.calls += 1
+            self.rows[key] = value
+
+        def removeKey(self, key):
+            self.calls += 1
+            del self.rows[key]
+
+        def iterator(self):
+            return iter(self.rows.items())
+
+    class Handle:
+        timers = []
+        state = Held()
+
+        def getMapState(self, *args):
+            return self.state
+
+        def listTimers(self):
+            return iter(self.timers)
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    n, handle = 5000, Handle()
+    keeper = scores.ScoreKeeper(1e-6, ttl_ms=1000)
+    keeper.init(handle)
+    rows = pd.DataFrame({
+        "creation_id": np.arange(n) * 1024 - n, "arrival_ts": pd.Timestamp("2024-01-01"),
+        "arrival_seq": -(1 << 63), "pos": np.arange(n), "is_creation": True, "category": "c",
+        **{name: 0 for name in ("first_ts", "last_ts", "clock", "newest_ts", "newest_clock")},
+        "gain": 0.0, "newest_gain": 0.0,
+        **{name: np.arange(n) * 1000 for name in ("arrival_us", "from_us", "until_us")},
+    })
+    for _ in range(2):
+        assert not list(keeper.handleInputRows((0,), iter([rows]), None))
+        assert handle.state.calls <= 2 << scores.BUCKET_BITS
+        handle.state.calls = 0
+    held = {x: s for v in handle.state.rows.values() for x, s in scores._held(v).items()}
+    assert held == {i * 1024 - n: ("c", 0.0, None, i * 1000) for i in range(n)}
+
+    class Now:
+        def getCurrentWatermarkInMs(self):
+            return 1000 + n // 2
+
+    assert not list(keeper.handleExpiredTimer((0,), Now(), None))
+    left = {x for v in handle.state.rows.values() for x in scores._held(v)}
+    assert left == {i * 1024 - n for i in range(n // 2, n)}
