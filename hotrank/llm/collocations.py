@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hotrank.llm.common import LOWER, cuts, pick, read, small, texts
+from hotrank.llm.common import LOWER, cuts, pack, pick, read, small, texts
 from hotrank.llm.hashing import hash_words, mixed
 from hotrank.session import as_table, fresh_folder
 
@@ -28,6 +31,8 @@ _BITS, _DIGITS = 7, 3
 _FEW = 12
 #: Bytes of text walked at a time, and pairs or words a task holds before it hands them on.
 _LOT, _HELD = 2 << 20, 1 << 20
+#: Words a task holds while it walks them through one trie after the other.
+_BLOCK = 1 << 23
 _WORD = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+")
 _END = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _KIND = np.zeros(256, np.uint8)
@@ -182,14 +187,43 @@ def _sequence(lot: list[bytes], langs: list[int], seed: int) -> np.ndarray:
     return words
 
 
+def _blocks(lots, size: int):
+    """Lists of lots that hold some ``size`` words together."""
+    block, held = [], 0
+    for lot in lots:
+        block.append(lot)
+        held += len(lot)
+        if held >= size:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
+
+
+def _unfolded(trie: bytes) -> Trie:
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(trie))
+
+
+def _found(block: list[np.ndarray], tries: list[bytes], starts: np.ndarray) -> list[np.ndarray]:
+    """Which phrase starts at each place of a block, -1 for none; one trie is unfolded at a time."""
+    which = [np.full(len(words) + 1, -1, np.int64) for words in block]
+    for start, folded in zip(starts, tries):
+        trie = _unfolded(folded)
+        for words, of in zip(block, which):
+            at, found = trie.walk(words)
+            of[at] = start + found
+        del trie
+    return which
+
+
 def _walked(tries, seed: int, pairs: bool):
     """``a, b, n``: occurrences of each phrase (b is null) and, with ``pairs``, of each phrase
     directly followed, one word on, by another: together they are one word longer."""
 
     def run(batches):
-        parts = [(ids.value, trie.value) for ids, trie in tries]
-        ids = np.concatenate([x for x, _ in parts])
-        starts = np.cumsum([0, *(len(x) for x, _ in parts)])
+        parts = [ids.value for ids, _ in tries]
+        ids, folded = np.concatenate(parts), [trie.value for _, trie in tries]
+        starts = np.cumsum([0, *map(len, parts)])
         counts = np.zeros(len(ids), np.int64)
         held, sizes, total = [], [], 0
 
@@ -202,11 +236,9 @@ def _walked(tries, seed: int, pairs: bool):
                 [pa.array(ids[found // len(ids)]), pa.array(ids[found % len(ids)]), pa.array(n)],
                 names=["a", "b", "n"])
 
-        for words in sequences(batches, seed):
-            which = np.full(len(words) + 1, -1, np.int64)
-            for start, (_, trie) in zip(starts, parts):
-                at, found = trie.walk(words)
-                which[at] = start + found
+        for which in chain.from_iterable(
+            _found(block, folded, starts) for block in _blocks(sequences(batches, seed), _BLOCK)
+        ):
             counts += np.bincount(which[which >= 0], minlength=len(ids))
             if not pairs:
                 continue
@@ -242,7 +274,7 @@ def _tries(phrases: DataFrame, n: int):
             continue
         ids = rows["id"].to_numpy()
         keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-        out.append((context.broadcast(ids), context.broadcast(Trie(keys))))
+        out.append((context.broadcast(ids), context.broadcast(pack(pickle.dumps(Trie(keys))))))
     return out
 
 
@@ -262,8 +294,9 @@ def mine_phrases(
     broadcast. Tasks walk all places of their texts through a trie at once and count accepting
     states. Where phrases start at one place and the next, they make a candidate one word longer;
     these pairs of numbers are combined in tasks and summed, and what is frequent goes into the
-    next tries. One trie holds ``TRIE`` phrases, so a broadcast's size is bounded; a task holds all
-    tries of a length, one per 131,072 frequent phrases.
+    next tries. One trie holds ``TRIE`` phrases, so a broadcast's size is bounded. Tries travel
+    compressed, and a task unfolds one at a time for ``_BLOCK`` words; beside the compressed tries it
+    holds a number and a count per frequent phrase of a length.
 
     Words travel as 64-bit hashes; another seed is taken should any two words share one. Null
     texts count as empty, a null language as ``und``; repeated rows count as often as they stand;

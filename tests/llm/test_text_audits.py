@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from hotrank.llm import collocations, divergence, exact_dedup
@@ -209,3 +210,33 @@ def test_index_outlives_its_session_object(spark, tmp_path):
 def test_pairs_of_tests_are_not_empty(spark):
     rows, _ = corpus(spark)
     assert len(phrases_by_hand(rows, 4, 40)) > 50 and len(audit_by_hand(rows)) > 50
+
+
+def test_tries_are_unfolded_one_at_a_time(monkeypatch):
+    """A task's memory does not grow with the number of tries, and blocks change no place."""
+    import pickle
+    import weakref
+
+    rng = np.random.default_rng(3)
+    phrases = np.unique(rng.integers(1, 30, (300, 2)), axis=0)
+    lots = [rng.integers(0, 30, n) for n in (50, 400, 1, 0, 700)]
+    parts = np.array_split(phrases, 5)
+    folded = [collocations.pack(pickle.dumps(collocations.Trie(part))) for part in parts]
+    starts = np.cumsum([0, *map(len, parts)])
+    alive, most, unfolded = weakref.WeakSet(), [0], collocations._unfolded
+
+    def watched(trie):
+        out = unfolded(trie)
+        alive.add(out)
+        most[0] = max(most[0], len(alive))
+        return out
+
+    monkeypatch.setattr(collocations, "_unfolded", watched)
+    blocks = list(collocations._blocks(lots, 300))
+    assert [len(x) for x in blocks] == [2, 3]
+    number = {tuple(p): i for i, p in enumerate(phrases.tolist())}
+    which = [x for block in blocks for x in collocations._found(block, folded, starts)]
+    assert most[0] == 1 and len(which) == len(lots)
+    for words, found in zip(lots, which):
+        want = [number.get(tuple(words[i : i + 2].tolist()), -1) for i in range(len(words))]
+        assert found.tolist() == [*want, -1]
