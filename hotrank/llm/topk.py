@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,6 +13,8 @@ from hotrank.llm.common import pick, read
 
 #: Rows a block of candidates and of queries aims at; a task scores one pair of blocks.
 ROWS, QUERIES = 4096, 512
+#: Queries whose scores are added up at a time: few enough that these stay in a core's cache.
+TILE = 16
 
 
 def sound(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -90,6 +94,47 @@ def ranked(found: DataFrame, k: int) -> DataFrame:
     )
 
 
+def accumulated(postings: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Scores of each query with each candidate; ``postings``: candidates' weights, by term.
+
+    Term at a time: a term's posting adds to the scores of all queries that ask for it. Where most
+    weights are none, only places with weight are added to.
+    """
+    scores = np.zeros((len(queries), postings.shape[1]), postings.dtype)
+    added = np.empty_like(scores)
+    for weights, asked in zip(postings, queries.T):
+        if not asked.any():
+            continue
+        at = np.flatnonzero(weights) if np.count_nonzero(weights) * 8 < len(weights) else None
+        if at is None:
+            np.multiply(asked[:, None], weights[None], out=added)
+            np.add(scores, added, out=scores)
+        elif len(at):
+            scores[:, at] += asked[:, None] * weights[at]
+    return scores
+
+
+def best_of_tile(
+    q_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of each query's ``k`` highest scores but its own, ties to smaller ids."""
+    n = scores.shape[1]
+    if n > k + 1:
+        # One more than asked for: the query's own may be among them.
+        cut = np.partition(scores, n - k - 1, axis=1)[:, n - k - 1]
+        rows, columns = np.nonzero(scores >= cut[:, None])
+    else:
+        rows, columns = np.nonzero(np.ones(scores.shape, bool))
+    other = ids[columns] != q_ids[rows]
+    rows, columns = rows[other], columns[other]
+    # The complement falls as the score rises, and does not overflow.
+    order = np.lexsort((ids[columns], ~scores[rows, columns], rows))
+    rows, columns = rows[order], columns[order]
+    first = np.searchsorted(rows, np.arange(len(q_ids)))
+    keep = np.arange(len(rows)) - first[rows] < k
+    return rows[keep], columns[keep]
+
+
 def _scatter(k: int):
     def run(batches):
         for batch in batches:
@@ -97,31 +142,22 @@ def _scatter(k: int):
                 ids, items = matrix(row["ids"], row["items"], "int64")
                 q_ids, q_items = matrix(row["q_ids"], row["q_items"], "int64")
                 width = min(items.shape[1], q_items.shape[1])
-                peak = int(np.abs(items).max(initial=0)) * int(np.abs(q_items).max(initial=0))
+                peak = math.prod(
+                    max(int(x.max(initial=0)), -int(x.min(initial=0))) for x in (items, q_items))
                 kind = np.int32 if peak * max(width, 1) < 1 << 31 else np.int64
-                # Candidates by query, so that a posting adds to a whole row of queries.
-                scores = np.zeros((len(ids), len(q_ids)), kind)
-                for term in range(width):
-                    posting = np.flatnonzero(items[:, term])
-                    asked = np.flatnonzero(q_items[:, term])
-                    weights = items[posting, term].astype(kind)[:, None]
-                    if len(asked) == len(q_ids):
-                        scores[posting] += weights * q_items[:, term].astype(kind)
-                    elif len(asked):
-                        scores[np.ix_(posting, asked)] += weights * q_items[asked, term].astype(kind)
-                made = []
-                for i, query in enumerate(q_ids.tolist()):
-                    column = scores[:, i].astype(np.int64)
-                    own = np.searchsorted(ids, query)
-                    keep = ids
-                    if own < len(ids) and ids[own] == query:
-                        keep, column = np.delete(ids, own), np.delete(column, own)
-                    for p in best(keep, column, k):
-                        made.append((query, int(keep[p]), int(column[p])))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([m[i] for m in made], pa.int64()) for i in range(3)],
-                    names=["query_id", "vec_id", "score"],
-                )
+                postings = np.ascontiguousarray(items[:, :width].T, kind)
+                asked = q_items[:, :width].astype(kind)
+                found = []
+                for start in range(0, len(q_ids), TILE):
+                    tile = q_ids[start : start + TILE]
+                    scores = accumulated(postings, asked[start : start + TILE])
+                    rows, columns = best_of_tile(tile, ids, scores, k)
+                    found.append((tile[rows], ids[columns], scores[rows, columns].astype(np.int64)))
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(x)) for x in zip(*found)],
+                        names=["query_id", "vec_id", "score"],
+                    )
 
     return run
 
@@ -136,7 +172,7 @@ def top_products(
     candidates all but the query's own. A block's postings are its non-zero weights by
     component; each adds query weight times posting weight into dense arrays of scores, from
     which a partition selects the best. Blocks meet pairwise and their best are merged, so a
-    task holds ``ROWS`` x ``QUERIES`` scores whatever the input. Vectors null, or with null or
+    task holds two blocks and ``ROWS`` x ``TILE`` scores whatever the input. Vectors null, or with null or
     non-finite components take no part; empty vectors score 0; shorter ones lack the rest.
     Ties go to the smaller id. Components past 2**63 are cut to it, and sums beyond wrap.
     """

@@ -5,9 +5,11 @@ import json
 import math
 import random
 import re
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hotrank.llm import ann, bpe, chat, licenses, lm, mixing, near_dedup, substring_dedup, topk
@@ -129,6 +131,45 @@ def test_top_products(spark, monkeypatch):
     assert topk.top_products(df.limit(0)).count() == 0
 
 
+def scored(ids, items, q_ids, q_items, k=20):
+    """What a task finds for one pair of blocks: query, candidate, score."""
+    row = {"ids": ids, "items": items, "q_ids": q_ids, "q_items": q_items}
+    row = {name: [np.asarray(x, np.int64).tobytes()] for name, x in row.items()}
+    found = list(topk._scatter(k)([pa.RecordBatch.from_pydict(row)]))
+    return [tuple(r.values()) for batch in found for r in batch.to_pylist()]
+
+
+@pytest.mark.parametrize("weight", [1, 40, 1 << 40, -(1 << 63)])
+def test_products_of_blocks_are_exact(weight):
+    rng = np.random.default_rng(3)
+    # Dense terms, one with few postings, one nobody asks for; many equal scores.
+    items = rng.integers(-2, 3, (70, 6))
+    items[:, 4] = 0
+    items[::30, 4] = 1
+    q_items = items[::2].copy()
+    q_items[:, 5] = 0
+    items[:, 0] *= weight
+    ids = np.arange(70) * 3
+    with np.errstate(over="ignore"):
+        products = q_items @ items.T
+    want = [
+        (q, c, -s) for q, row in zip(ids[::2].tolist(), products.tolist())
+        for s, c in sorted((-s, c) for c, s in zip(ids.tolist(), row) if c != q)[:20]
+    ]
+    assert scored(ids, items, ids[::2], q_items) == want
+
+
+def test_products_of_blocks_hold_few_scores_at_a_time():
+    rng = np.random.default_rng(4)
+    items = rng.integers(-40, 41, (topk.ROWS, 64))
+    tracemalloc.start()
+    found = scored(np.arange(topk.ROWS), items, np.arange(topk.QUERIES), items[: topk.QUERIES])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # All scores of the pair of blocks alone take 8 MB in 32 bits.
+    assert len(found) == 20 * topk.QUERIES and peak < 12 << 20
+
+
 def test_neighbours_find_nine_of_ten(spark, sf):
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
     held = {r.vec_id: r.embedding for r in df.collect()}
