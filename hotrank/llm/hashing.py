@@ -57,7 +57,8 @@ def runs(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     step = mixed(np.array([seed], np.uint64)) | np.uint64(1) if seed else _STEP
     found = np.full(n, seed, np.uint64)
     for i in range(size):
-        found = found * step + words[i : i + n]
+        found *= step
+        found += words[i : i + n]
     return mixed(found)
 
 

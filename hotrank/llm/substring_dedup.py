@@ -7,6 +7,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +30,14 @@ def anchors(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.
     width = window - NODE + 1
     if len(nodes) < width:
         return nodes, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    chosen = np.lib.stride_tricks.sliding_window_view(nodes, width).argmin(1)
-    chosen = chosen + np.arange(len(chosen))
-    return nodes, chosen, chosen[np.append(True, chosen[1:] != chosen[:-1])]
+    n = len(nodes) - width + 1
+    # What ``sliding_window_view`` gives, without its checks, which cost more than the search.
+    chosen = np.ndarray((n, width), nodes.dtype, nodes, 0, nodes.strides * 2).argmin(1)
+    chosen += np.arange(n)
+    first = np.empty(n, bool)
+    first[0] = True
+    np.not_equal(chosen[1:], chosen[:-1], out=first[1:])
+    return nodes, chosen, chosen[first]
 
 
 def _nodes(window: int):
@@ -136,26 +142,42 @@ def resolve(key, n_words: int, edges, counts: dict[int, int], window: int):
     return earlier, paths
 
 
+def listed(column: pa.Array):
+    """Rows of each list of structs, as tuples; structs in a struct become tuples in one.
+
+    Values leave Arrow column by column: taken one by one they would cost more than all else.
+    """
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+
+    def rows(fields, start, end):
+        return zip(*(
+            rows(f, start, end) if isinstance(f, list) else f[start:end].tolist() for f in fields))
+
+    fields = _fields(column.flatten())
+    for start, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
+        yield rows(fields, start, end)
+
+
+def _fields(structs: pa.StructArray) -> list:
+    return [_fields(x) if pa.types.is_struct(x.type) else x.to_numpy() for x in structs.flatten()]
+
+
 def _settle(window: int, digest: bool):
     def run(batches):
         for batch in small(batches, 8 << 20):
             out = []
-            columns = [batch.column(c).to_pylist() for c in ("doc", "txt", "edges", "nodes")]
+            columns = [batch.column(c).to_pylist() for c in ("doc", "txt")]
+            columns += [listed(batch.column(c)) for c in ("edges", "nodes")]
             for text, doc, txt, edges, nodes in zip(unpacked(batch.column("text")), *columns):
                 words = text.split()
                 n = len(words)
-                if n < window or not nodes:
+                counts = dict(nodes)
+                if n < window or not counts:
                     out.append((doc, txt, n, 0, _kept(words, None, digest), None, None, [], [], []))
                     continue
                 hashes = word_hashes(text)
                 _, chosen, _ = anchors(hashes, window)
-                counts = {x["at"]: x["n"] for x in nodes}
-                earlier, paths = resolve(
-                    (doc, txt), n,
-                    {(e["a"], e["b"], e["n"], (e["f"]["doc"], e["f"]["txt"], e["f"]["a"]))
-                     for e in edges or ()},
-                    counts, window,
-                )
+                earlier, paths = resolve((doc, txt), n, set(edges), counts, window)
                 windows, settled = np.arange(len(chosen)), np.zeros(len(chosen), bool)
                 for start, end, inner in paths:
                     span = slice(start, max(start, end - window + 1))

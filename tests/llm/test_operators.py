@@ -446,6 +446,31 @@ def test_substrings(docs, nothing):
     assert substring_dedup.remove_repeats(nothing).count() == 0
 
 
+def test_many_repeated_edges_are_not_all_unpacked_at_once():
+    n, texts = 4000, 40
+    first = pa.struct([("doc", pa.int64()), ("txt", pa.int64()), ("a", pa.int32())])
+    edge = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64()), ("f", first)])
+    edges = [{"a": i, "b": i + 9, "n": 2, "f": {"doc": 0, "txt": 0, "a": i}} for i in range(n - 8)]
+    nodes = [{"at": i, "n": 2} for i in range(n - 7)]
+    text = b"w " * n
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(texts + 3)), pa.array([0] * (texts + 3)),
+         pa.array([substring_dedup.pack(x) for x in [b"", *[text] * texts, b"x", text]]),
+         pa.array([None, *[edges] * texts, None, None], pa.list_(edge)),
+         pa.array([None, *[nodes] * texts, [], []], pa.list_(
+             pa.struct([("at", pa.int32()), ("n", pa.int64())])))],
+        names=["doc", "txt", "text", "edges", "nodes"])
+    del edges, nodes
+    tracemalloc.start()
+    found = [r for b in substring_dedup._settle(20, False)(iter([batch])) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r["n_words"], r["n_removed"], r["text"]) for r in found] == [
+        (0, 0, None), *[(n, n, None)] * texts, (1, 0, None), (n, 0, None)]
+    # Edges of all texts as Python's own took 132 MB.
+    assert peak < 24 << 20
+
+
 @pytest.mark.parametrize("crowd", [16, 1])
 def test_near_copies(spark, docs, nothing, monkeypatch, crowd):
     monkeypatch.setattr(near_dedup, "CROWD", crowd)
