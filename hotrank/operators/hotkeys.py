@@ -4,7 +4,8 @@ A running score is computed key by key, in order. One viral creation may hold a
 actions, and a plain window would put them all into one task. Keys above ``segment_rows`` rows
 are therefore set apart: Spark's own range partitioning on (key, order) cuts them into
 consecutive segments of about that size, the segments are worked on independently, and what one
-hands to the next is one small row each. All other keys keep the plain plan: one exchange.
+hands to the next is one small row each. All other keys keep the plain plan: one exchange, into
+as many tasks as their rows need.
 """
 
 from __future__ import annotations
@@ -14,11 +15,15 @@ from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hotrank.session import as_table, fresh_folder
 
 # A window over this many rows is still one task of about a minute.
 SEGMENT_ROWS = 5_000_000
+# Rows of whole keys that a task takes on average. Partitions are otherwise cut by bytes as shuffled,
+# compressed, and sorted several times in a task; how many there are at most does not follow the data.
+TASK_ROWS = 500_000
 # Sketches of this many keys each, one for every part of the keys; below the 128 groups up to
 # which Spark aggregates objects without a sort.
 _PARTS = 64
@@ -27,10 +32,14 @@ _TRACKED = 3072
 
 @dataclass(frozen=True)
 class Split:
-    """``rest`` has whole keys; ``hot`` (or None) has a ``segment`` column."""
+    """``rest`` has whole keys; ``hot`` (or None) has a ``segment`` column.
+
+    ``placed``: ``rest`` is partitioned by the key already.
+    """
 
     rest: DataFrame
     hot: DataFrame | None
+    placed: bool = False
 
 
 def split_hot_keys(
@@ -49,9 +58,9 @@ def split_hot_keys(
     """
     if segment_rows is None:
         return Split(df, None)
-    keys = hot_keys(df, key, segment_rows)
+    n_all, keys = _looked_through(df, key, segment_rows)
     if keys is None:
-        return Split(df, None)
+        return _spread(df, key, n_all)
     n_rows = keys.agg(F.sum("count")).first()[0]
     keys = keys.select(key)
     hot = (
@@ -60,7 +69,15 @@ def split_hot_keys(
         .withColumn("segment", F.spark_partition_id())
     )
     hot = as_table(hot, fresh_folder(df.sparkSession, "hot-keys"))
-    return Split(df.join(keys, key, "left_anti"), hot)
+    return _spread(df.join(keys, key, "left_anti"), key, n_all - n_rows, hot)
+
+
+def _spread(rest: DataFrame, key: str, n_rows: int, hot: DataFrame | None = None) -> Split:
+    """Few rows are left to the planner, which gives each core a share of them."""
+    tasks = ceil(n_rows / TASK_ROWS)
+    if tasks <= rest.sparkSession.sparkContext.defaultParallelism:
+        return Split(rest, hot)
+    return Split(rest.repartition(tasks, key), hot, placed=True)
 
 
 def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame | None:
@@ -74,22 +91,31 @@ def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame | None:
     that, or beside a very hot key of its part, a lesser one may be passed over; it is then
     worked on whole, which costs time but changes no result. NULL is no key.
     """
+    return _looked_through(df, key, rows)[1]
+
+
+def _looked_through(df: DataFrame, key: str, rows: int) -> tuple[int, DataFrame | None]:
+    """How many rows have a key, and ``hot_keys``."""
     part = F.pmod(F.xxhash64(key), F.lit(_PARTS))
     found = (
         df.filter(F.col(key).isNotNull())
         .groupBy(part.alias("part"))
-        .agg(F.expr(f"approx_top_k(`{key}`, {_TRACKED}, {_TRACKED})").alias("top"))
-        .select(F.inline("top"))
-        .filter(F.col("count") > rows)
-        .select(F.col("item").alias(key))
+        .agg(
+            F.count("*").alias("n"),
+            F.expr(f"approx_top_k(`{key}`, {_TRACKED}, {_TRACKED})").alias("top"),
+        )
+        .select("n", F.filter("top", lambda x: x["count"] > rows).alias("top"))
     )
+    parts = found.collect()
+    n_rows = sum(p.n for p in parts)
     # No more than the sketches track.
-    candidates = found.collect()
+    candidates = [(x["item"],) for p in parts for x in p.top]
     if not candidates:
-        return None
+        return n_rows, None
     spark = df.sparkSession
+    schema = StructType().add(key, found.schema["top"].dataType.elementType["item"].dataType)
     listed = as_table(
-        spark.createDataFrame(candidates, found.schema), fresh_folder(spark, "hot-key-candidates"))
+        spark.createDataFrame(candidates, schema), fresh_folder(spark, "hot-key-candidates"))
     counts = df.join(listed, key, "left_semi").groupBy(key).count().filter(F.col("count") > rows)
     counts = as_table(counts, fresh_folder(spark, "hot-key-counts"))
-    return None if counts.isEmpty() else counts
+    return n_rows, None if counts.isEmpty() else counts

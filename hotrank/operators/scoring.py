@@ -179,7 +179,7 @@ def running_score(
     order = _order(order_by)
     actions = actions.filter(F.col("creation_id").isNotNull())
     split = split_hot_keys(actions, "creation_id", order, segment_rows)
-    out = score_whole(split.rest, order, rate)
+    out = score_whole(split.rest, order, rate, split.placed)
     if split.hot is not None:
         out = out.unionByName(score_segments(split.hot, order, rate))
     return out
