@@ -24,6 +24,9 @@ SEGMENT_ROWS = 5_000_000
 # Rows of whole keys that a task takes on average. Partitions are otherwise cut by bytes as shuffled,
 # compressed, and sorted several times in a task; how many there are at most does not follow the data.
 TASK_ROWS = 500_000
+# Where that gives more tasks than a shuffle writes to without sorting, they take up to this many
+# first: beyond, each writer holds the rows of its input split.
+MOST_ROWS = 1_250_000
 # Sketches of this many keys each, one for every part of the keys; below the 128 groups up to
 # which Spark aggregates objects without a sort.
 _PARTS = 64
@@ -74,12 +77,19 @@ def split_hot_keys(
 
 def _spread(rest: DataFrame, key: str, n_rows: int, hot: DataFrame | None = None) -> Split:
     """Few rows are left to the planner, which gives each core a share of them."""
-    tasks = ceil(n_rows / TASK_ROWS)
-    if tasks <= rest.sparkSession.sparkContext.defaultParallelism:
+    context = rest.sparkSession.sparkContext
+    unsorted = int(context.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    tasks = tasks_for(n_rows, unsorted)
+    if tasks <= context.defaultParallelism:
         return Split(rest, hot)
     return Split(rest.repartition(tasks, key), hot, placed=True)
 
 
+def tasks_for(n_rows: int, unsorted: int) -> int:
+    tasks = ceil(n_rows / TASK_ROWS)
+    return tasks if tasks <= unsorted else max(unsorted, ceil(n_rows / MOST_ROWS))
+
+
 def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame | None:
     """``key, count`` of the keys with more than ``rows`` rows, as a table; None without any.
 

@@ -162,6 +162,14 @@ def test_tasks_of_whole_keys_follow_the_rows(spark, monkeypatch):
     assert split.rest.filter("creation_id IS NOT NULL").count() == 5940
 
 
+@pytest.mark.parametrize("n_rows, tasks", [
+    (0, 0), (500_000, 1), (500_001, 2), (100_000_000, 200), (100_000_001, 200),
+    (250_000_000, 200), (250_000_001, 201), (10**10, 8000),
+])
+def test_tasks_up_to_what_a_shuffle_writes_unsorted(n_rows, tasks):
+    assert hotkeys.tasks_for(n_rows, 200) == tasks
+
+
 def test_event_time_cells_equal_the_general_way(spark):
     keyed = [(i % 5, (i * 7919) % 10_007 * 60_000, i % 6) for i in range(2000)]
     df = actions(spark, keyed, [ts for _, ts, _ in keyed]).withColumn("category", F.lit("x"))
