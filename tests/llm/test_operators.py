@@ -11,6 +11,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from hotrank.llm import ann, bpe, chat, licenses, lm, mixing, near_dedup, substring_dedup, topk
 from hotrank.llm import toxicity
@@ -549,3 +550,51 @@ def test_pipeline_columns(spark, sf):
         assert stage(spark, docs.limit(0), sf).columns == docs.columns
     out = corpus_pipeline.run(spark, sf)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 0
+
+
+def test_sample_is_chosen_before_it_is_ordered(spark):
+    """The lowest hashes, without a list of that length from each task for the driver."""
+    rows = spark.range(0, 40_000, 1, 20).withColumnRenamed("id", "vec_id")
+    place = F.xxhash64("vec_id")
+    want = {r.vec_id for r in rows.orderBy(place, "vec_id").limit(500).collect()}
+    low = ann.lowest(rows, 40_000, 500)
+    assert {r.vec_id for r in low.collect()} == want
+    plan = low._jdf.queryExecution().optimizedPlan().toString()
+    bound = int(re.search(r"Filter .*xxhash64\(.*\) < (-?\d+)", plan)[1])
+    assert 500 <= rows.where(place < bound).count() < 1000
+    # More rows asked for than there are, and a wrong idea of how many there are.
+    assert ann.lowest(rows, 40_000, 50_000).count() == 40_000
+    assert {r.vec_id for r in ann.lowest(rows, 4_000_000, 500).collect()} == want
+
+
+@pytest.mark.parametrize("alike", [False, True])
+def test_best_of_a_block_as_by_hand(alike):
+    rng = np.random.default_rng(6)
+    units = rng.standard_normal((900, 12))
+    if alike:
+        units[100:800] = units[100]
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    ids, asked = np.arange(900) * 2, units[::9]
+    cells, visits = rng.integers(0, 40, 900), rng.random((100, 40)) < 0.4
+    visits[3], visits[4, 1:] = False, False
+    got = list(zip(*(x.tolist() for x in ann.best_seen(
+        ids[::9], asked, visits, ids, units, cells, 5))))
+    want = []
+    for q, query, seen in zip(ids[::9].tolist(), asked, visits):
+        scores = np.einsum("ij,j->i", units, query)
+        found = [(-scores[i], ids[i].item()) for i in range(900) if seen[cells[i]] and ids[i] != q]
+        want += [(q, i, -s) for s, i in sorted(found)[:5]]
+    assert got == want and len(got) < 500
+
+
+def test_best_of_a_block_holds_few_vectors_at_a_time():
+    """Also where all rows are one vector, so that none can be ruled out by rough scores."""
+    units = np.full((4096, 64), 0.125)
+    ids, queries = np.arange(4096), 256
+    tracemalloc.start()
+    found = ann.best_seen(
+        ids[:queries], units[:queries], np.ones((queries, 1), bool), ids, units,
+        np.zeros(4096, np.int64), 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found[0]) == 5 * queries and peak < 64 << 20
