@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hotrank.llm.common import LOWER, cuts, pack, pick, read, small, texts
-from hotrank.llm.hashing import hash_words, mixed
+from hotrank.llm.hashing import _STEP, hash_words, mixed
 from hotrank.session import as_table, fresh_folder
 
 #: Occurrences a phrase needs, and the most words it has.
@@ -33,6 +33,8 @@ _FEW = 12
 _LOT, _HELD = 2 << 20, 1 << 20
 #: Words a task holds while it walks them through one trie after the other.
 _BLOCK = 1 << 23
+#: Words numbered up to here are looked up in an array.
+_DENSE = 1 << 25
 _WORD = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+")
 _END = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _KIND = np.zeros(256, np.uint8)
@@ -140,15 +142,27 @@ class Trie:
         self.accept = np.full(size, -1, np.int32)
         self.accept[slots[last]] = np.arange(len(phrases))
 
-    def walk(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places where a phrase starts, and which; ``words`` are keys, 0 between pieces."""
+    def _codes(self, words: np.ndarray) -> np.ndarray:
+        """Number of each word in this trie, -1 for others."""
         codes = np.minimum(np.searchsorted(self.keys, words), len(self.keys) - 1)
-        codes = np.where(self.keys[codes] == words, codes, -1)
-        codes = np.append(codes, np.full(self.length, -1))
-        at = np.arange(len(words))
-        state = np.zeros(len(words), np.int32)
+        return np.where(self.keys[codes] == words, codes, -1)
+
+    def walk(self, words: np.ndarray, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Places where a phrase starts, and which; ``words`` are keys, 0 between pieces.
+
+        ``at``: the places to look at, none so late that a phrase would not fit; otherwise all.
+        """
+        lookup = self._codes
+        if at is None:
+            codes = np.append(self._codes(words), np.full(self.length, -1))
+            words, at, lookup = codes, np.arange(len(words)), lambda found: found
+        elif 0 < self.keys[0] and self.keys[-1] < _DENSE:
+            table = np.full(int(self.keys[-1]) + 2, -1, np.int32)
+            table[self.keys] = np.arange(len(self.keys), dtype=np.int32)
+            lookup = lambda found: table.take(found, mode="clip")
+        state = np.zeros(len(at), np.int32)
         for step in range(self.length):
-            code = codes[at + step]
+            code = lookup(words[at + step])
             known = code >= 0
             at, state, code = at[known], state[known], code[known]
             for i in range(_DIGITS - 1, -1, -1):
@@ -158,6 +172,16 @@ class Trie:
         return at, self.accept[state]
 
 
+def _lots(columns, lots: int) -> np.ndarray:
+    """The lot that the phrase of these words, a column for each, is dealt to."""
+    found = np.zeros(len(columns[0]), np.uint64)
+    for words in columns:
+        found *= _STEP
+        found += words.astype(np.uint64)
+    return ((mixed(found) >> np.uint64(32)) % np.uint64(lots)).astype(
+        np.uint16 if lots <= 1 << 16 else np.int64)
+
+
 def sequences(batches, seed: int):
     """Keys of the words of all texts, lot by lot, with 0 between pieces."""
     for batch in small(batches, 4 << 20):
@@ -200,30 +224,100 @@ def _blocks(lots, size: int):
         yield block
 
 
+def _folded(trie: Trie) -> bytes:
+    # Its arrays without its class: workers may hold the class under another identity.
+    return pack(pickle.dumps(vars(trie)))
+
+
 def _unfolded(trie: bytes) -> Trie:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(trie))
+    found = pickle.loads(zstandard.ZstdDecompressor().decompress(trie))
+    if isinstance(found, dict):
+        state, found = found, Trie.__new__(Trie)
+        vars(found).update(state)
+    return found
+
+
+def _found(
+    block: list[np.ndarray], tries: list[bytes | None], starts: np.ndarray, length: int = 0,
+) -> list[np.ndarray]:
+    """Which phrase starts at each place of a block, -1 for none; one trie is unfolded at a time.
+
+    With ``length`` the n-th trie holds the phrases of that length dealt to lot n, so each place is
+    walked through one trie, however many there are. Otherwise all are walked through all.
+    """
+    if not length:
+        which = [np.full(len(words) + 1, -1, np.int64) for words in block]
+        for start, folded in zip(starts, tries):
+            trie = _unfolded(folded)
+            for words, of in zip(block, which):
+                at, found = trie.walk(words)
+                of[at] = start + found
+            del trie
+        return which
+    # What crosses from one list of words to the next has the 0 between them.
+    words = np.concatenate([np.append(words, 0).astype(words.dtype) for words in block])
+    which = np.full(len(words), -1, np.int32)
+    columns = [words[i : len(words) - length + 1 + i] for i in range(length)]
+    if len(words) >= length:
+        at = np.flatnonzero(np.logical_and.reduce([column != 0 for column in columns]))
+        lots = _lots([column[at] for column in columns], len(tries))
+        order = np.argsort(lots, kind="stable")
+        ends = np.cumsum(np.bincount(lots, minlength=len(tries)))
+        at = at[order]
+        del lots, order
+        for start, folded, first, end in zip(starts, tries, np.append(0, ends), ends):
+            if folded is not None and first < end:
+                trie = _unfolded(folded)
+                places, found = trie.walk(words, at[first:end])
+                which[places] = start + found
+                del trie
+    return np.split(which, np.cumsum([len(words) + 1 for words in block])[:-1])
+
+
+def _held(tries):
+    """Ids of all phrases, the tries by lot, and where the numbers of each lot's phrases start."""
+    parts = [trie.value if trie else (np.zeros(0, np.int64), None) for trie in tries]
+    ids = np.concatenate([ids for ids, _ in parts])
+    return ids, [folded for _, folded in parts], np.cumsum([0, *(len(ids) for ids, _ in parts)])
+
+
+def _coded(tries, seed: int):
+    """``codes``: per lot the numbers of its words, 0 for words that are in no trie and between
+    pieces, as compressed integers of 32 bits."""
+
+    def run(batches):
+        ids, folded, starts = _held(tries)
+        codes = np.append(ids, 0).astype(np.int32)
+        for block in _blocks(sequences(batches, seed), _BLOCK // 2):
+            for which in _found(block, folded, starts, 1):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([pack(codes[which].tobytes())], pa.binary())], names=["codes"])
+
+    return run
 
 
-def _found(block: list[np.ndarray], tries: list[bytes], starts: np.ndarray) -> list[np.ndarray]:
-    """Which phrase starts at each place of a block, -1 for none; one trie is unfolded at a time."""
-    which = [np.full(len(words) + 1, -1, np.int64) for words in block]
-    for start, folded in zip(starts, tries):
-        trie = _unfolded(folded)
-        for words, of in zip(block, which):
-            at, found = trie.walk(words)
-            of[at] = start + found
-        del trie
-    return which
+def _uncoded(batches):
+    """The numbers of words, lot by lot."""
+    read = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for packed in batch.column("codes"):
+            yield np.frombuffer(read.decompress(packed.as_py()), np.int32)
 
 
-def _walked(tries, seed: int, pairs: bool):
+def _walked(tries, n_phrases: int, length: int, pairs: bool):
     """``a, b, n``: occurrences of each phrase (b is null) and, with ``pairs``, of each phrase
-    directly followed, one word on, by another: together they are one word longer."""
+    directly followed, one word on, by another: together they are one word longer.
+
+    Of length 1 are the ``n_phrases`` numbered words themselves."""
 
     def run(batches):
-        parts = [ids.value for ids, _ in tries]
-        ids, folded = np.concatenate(parts), [trie.value for _, trie in tries]
-        starts = np.cumsum([0, *map(len, parts)])
+        if length == 1:
+            ids = np.arange(1, n_phrases + 1)
+            lots = ([words - 1] for words in _uncoded(batches))
+        else:
+            ids, folded, starts = _held(tries)
+            lots = (_found(block, folded, starts, length)
+                    for block in _blocks(_uncoded(batches), _BLOCK))
         counts = np.zeros(len(ids), np.int64)
         held, sizes, total = [], [], 0
 
@@ -236,14 +330,14 @@ def _walked(tries, seed: int, pairs: bool):
                 [pa.array(ids[found // len(ids)]), pa.array(ids[found % len(ids)]), pa.array(n)],
                 names=["a", "b", "n"])
 
-        for which in chain.from_iterable(
-            _found(block, folded, starts) for block in _blocks(sequences(batches, seed), _BLOCK)
-        ):
-            counts += np.bincount(which[which >= 0], minlength=len(ids))
+        for which in chain.from_iterable(lots):
+            seen, n_seen = np.unique(which[which >= 0], return_counts=True)
+            counts[seen] += n_seen
             if not pairs:
                 continue
             on = np.flatnonzero((which[:-1] >= 0) & (which[1:] >= 0))
-            found, n = np.unique(which[on] * len(ids) + which[on + 1], return_counts=True)
+            found, n = np.unique(
+                which[on].astype(np.int64) * len(ids) + which[on + 1], return_counts=True)
             held.append(found)
             sizes.append(n)
             total += len(found)
@@ -263,21 +357,53 @@ def _walked(tries, seed: int, pairs: bool):
     return run
 
 
-def _tries(phrases: DataFrame, n: int):
-    """Ids and trie of each lot of ``phrases``, as broadcasts of bounded size."""
+def _tries(phrases: DataFrame, n: int) -> list:
+    """Ids and trie of each lot of ``phrases``, as broadcasts of bounded size; None for empty lots.
+
+    Tasks build the tries, and the driver passes on one after the other."""
     lots = -(-n // TRIE)
-    dealt = phrases.select("id", "keys", F.pmod(F.xxhash64("keys"), F.lit(lots)).alias("lot"))
-    context, out = phrases.sparkSession.sparkContext, []
-    for lot in range(lots):
-        rows = dealt.where(F.col("lot") == lot).toArrow()
-        if not rows.num_rows:
-            continue
-        ids = rows["id"].to_numpy()
-        keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-        out.append((context.broadcast(ids), context.broadcast(pack(pickle.dumps(Trie(keys))))))
+
+    def dealt(batches):
+        for batch in batches:
+            if batch.num_rows:
+                keys = batch.column("keys").flatten().to_numpy().reshape(batch.num_rows, -1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_lots(list(keys.T), lots).astype(np.int32)),
+                     batch.column("id"), batch.column("keys")], names=["lot", "id", "keys"])
+
+    def built(table):
+        ids = table["id"].to_numpy()
+        keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        return pa.table({
+            "lot": table["lot"][:1], "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
+            "trie": pa.array([_folded(Trie(keys))], pa.binary())})
+
+    context, out = phrases.sparkSession.sparkContext, [None] * lots
+    made = (
+        phrases.select("id", "keys").mapInArrow(dealt, "lot int, id long, keys array<long>")
+        .groupBy("lot").applyInArrow(built, "lot int, ids binary, trie binary")
+    )
+    made = as_table(made, fresh_folder(phrases.sparkSession, "phrases-tries"))
+    for row in made.toLocalIterator():
+        out[row.lot] = context.broadcast((np.frombuffer(row.ids, np.int64), bytes(row.trie)))
     return out
 
 
+def _drop(tries) -> None:
+    for trie in filter(None, tries):
+        trie.unpersist()
+
+
+def _numbered(phrases: DataFrame) -> DataFrame:
+    """``phrases`` with their ids, which count on within each partition, as numbers from 1."""
+    part = F.shiftright("id", 33)
+    sizes = {r.part: r.n for r in phrases.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    starts = np.cumsum([1, *(sizes.get(i, 0) for i in range(max(sizes, default=0)))]).tolist()
+    return phrases.withColumn("id", F.element_at(
+        F.array(*(F.lit(x).cast("long") for x in starts)), part.cast("int") + 1)
+        + F.col("id").bitwiseAND((1 << 33) - 1))
+
+
 def mine_phrases(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST,
     longest: int = LONGEST, places: int = PLACES,
@@ -291,12 +417,15 @@ def mine_phrases(
     holds their words in a row, are dropped.
 
     Level by level: the frequent phrases of a length are put into double-array tries and
-    broadcast. Tasks walk all places of their texts through a trie at once and count accepting
+    broadcast. Tasks walk the places of their texts through the tries in bulk and count accepting
     states. Where phrases start at one place and the next, they make a candidate one word longer;
     these pairs of numbers are combined in tasks and summed, and what is frequent goes into the
-    next tries. One trie holds ``TRIE`` phrases, so a broadcast's size is bounded. Tries travel
-    compressed, and a task unfolds one at a time for ``_BLOCK`` words; beside the compressed tries it
-    holds a number and a count per frequent phrase of a length.
+    next tries. One trie holds ``TRIE`` phrases, so a broadcast's size is bounded. Phrases are dealt
+    to tries by a hash of their words, so a place is walked through one trie only, and work does not
+    grow with their number but for unfolding. Tries travel compressed, and a task unfolds one at a
+    time for ``_BLOCK`` words; beside the compressed tries it holds a number and a count per frequent
+    phrase of a length. Texts are cut into words twice: to count them, and to write them as the
+    numbers of the frequent ones, which the levels read.
 
     Words travel as 64-bit hashes; another seed is taken should any two words share one. Null
     texts count as empty, a null language as ``und``; repeated rows count as often as they stand;
@@ -322,29 +451,32 @@ def mine_phrases(
         seed += 1
     totals = words.groupBy("w.lang").agg(F.sum("n").alias("n"))
     number = F.monotonically_increasing_id().alias("id")
-    phrases = table(
+    phrases = _numbered(table(
         words.where(F.col("n") >= least)
         .select(number, F.array("key").alias("keys"), "w.lang", F.array("w.word").alias("words")),
-        "1")
-    counted = []
+        "1"))
+    counted, coded = [], None
     for length in range(1, longest + 1):
         n = phrases.count()
         if not n:
             break
         tries = _tries(phrases, n)
+        if length == 1:
+            coded = table(rows.mapInArrow(_coded(tries, seed), "codes binary"), "codes")
+            _drop(tries)
+            tries = []
+            phrases = phrases.withColumn("keys", F.array("id"))
         walked = table(
-            rows.mapInArrow(_walked(tries, seed, length < longest), "a long, b long, n long")
+            coded.mapInArrow(_walked(tries, n, length, length < longest), "a long, b long, n long")
             .groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least),
             f"walked-{length}")
-        for ids, trie in tries:
-            ids.unpersist()
-            trie.unpersist()
+        _drop(tries)
         counts = walked.where("b is null").select(F.col("a").alias("id"), F.col("n").alias("f"))
         counted.append(phrases.join(counts, "id").select(
             "lang", "words", F.concat_ws(" ", "words").alias("phrase"), "f"))
         if length == longest:
             break
-        first = phrases.toDF("a", "keys_a", "lang", "words_a")
+        first = phrases.select("id", "keys", "lang", "words").toDF("a", "keys_a", "lang", "words_a")
         second = phrases.select(
             F.col("id").alias("b"), F.element_at("keys", -1).alias("key"),
             F.element_at("words", -1).alias("word"))

@@ -240,3 +240,28 @@ def test_tries_are_unfolded_one_at_a_time(monkeypatch):
     for words, found in zip(lots, which):
         want = [number.get(tuple(words[i : i + 2].tolist()), -1) for i in range(len(words))]
         assert found.tolist() == [*want, -1]
+
+
+def test_a_place_is_walked_through_one_trie_only(monkeypatch):
+    """Work does not grow with the number of tries."""
+    rng = np.random.default_rng(9)
+    phrases = np.unique(rng.integers(1, 60, (900, 2)), axis=0)
+    block = [rng.integers(0, 60, n).astype(np.int32) for n in (5000, 1, 0, 3000)]
+    lots = collocations._lots(list(phrases.T), 40)
+    lots[lots == 7] = 8
+    parts = [np.flatnonzero(lots == lot) for lot in range(40)]
+    folded = [collocations._folded(collocations.Trie(phrases[x])) if len(x) else None for x in parts]
+    number = {tuple(p): i for i, p in enumerate(phrases[np.concatenate(parts)].tolist())
+              if collocations._lots([phrases[np.concatenate(parts)[i, None], j] for j in (0, 1)], 40)[0] != 7}
+    walked, walk = [], collocations.Trie.walk
+
+    def watched(trie, words, at=None):
+        walked.append(len(words) if at is None else len(at))
+        return walk(trie, words, at)
+
+    monkeypatch.setattr(collocations.Trie, "walk", watched)
+    which = collocations._found(block, folded, np.cumsum([0, *map(len, parts)]), 2)
+    assert sum(walked) <= sum(map(len, block)) and max(lots) == 39
+    for words, found in zip(block, which):
+        want = [number.get(tuple(words[i : i + 2].tolist()), -1) for i in range(len(words))]
+        assert found.tolist() == [*want, -1]
