@@ -35,6 +35,8 @@ _LOT, _HELD = 2 << 20, 1 << 20
 _BLOCK = 1 << 23
 #: Words numbered up to here are looked up in an array.
 _DENSE = 1 << 25
+#: Bytes of folded tries that are broadcast at a time; more make more rounds.
+_ROUND = 48 << 20
 _WORD = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+")
 _END = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _KIND = np.zeros(256, np.uint8)
@@ -83,7 +85,8 @@ def _words(seed: int):
 
 class Trie:
     """Double array over phrases of one length: ``base[state] + digit`` is the next state where
-    ``check`` there names the state. Built from rows of word keys; the n-th row's end accepts n."""
+    ``check`` there names the state. Built from rows of word keys; the n-th row's end accepts n, which
+    stands as its ``base``, since no phrase goes on from the end of another."""
 
     def __init__(self, phrases: np.ndarray):
         self.length = phrases.shape[1]
@@ -139,8 +142,7 @@ class Trie:
                 open_ = open_[~placed]
             self.base[slots] = bases
             slots = to
-        self.accept = np.full(size, -1, np.int32)
-        self.accept[slots[last]] = np.arange(len(phrases))
+        self.base[slots[last]] = np.arange(len(phrases))
 
     def _codes(self, words: np.ndarray) -> np.ndarray:
         """Number of each word in this trie, -1 for others."""
@@ -169,7 +171,7 @@ class Trie:
                 to = self.base[state] + ((code >> (_BITS * i)) & ((1 << _BITS) - 1))
                 there = self.check[to] == state
                 at, state, code = at[there], to[there], code[there]
-        return at, self.accept[state]
+        return at, self.base[state]
 
 
 def _lots(columns, lots: int) -> np.ndarray:
@@ -225,18 +227,47 @@ def _blocks(lots, size: int):
 
 
 def _folded(trie: Trie) -> bytes:
-    # Its arrays without its class: workers may hold the class under another identity.
-    return pack(pickle.dumps(vars(trie)))
+    # Its arrays without its class, which workers may hold under another identity.
+    sizes = np.array([trie.length, len(trie.keys), len(trie.base)], np.int64)
+    return pack(b"".join(x.tobytes() for x in (sizes, trie.keys, trie.base, trie.check)))
 
 
 def _unfolded(trie: bytes) -> Trie:
-    found = pickle.loads(zstandard.ZstdDecompressor().decompress(trie))
-    if isinstance(found, dict):
-        state, found = found, Trie.__new__(Trie)
-        vars(found).update(state)
+    data = zstandard.ZstdDecompressor().decompress(trie)
+    if data[:1] == b"\x80":  # a pickled trie
+        return pickle.loads(data)
+    found = Trie.__new__(Trie)
+    found.length, n_keys, size = np.frombuffer(data, np.int64, 3).tolist()
+    found.keys = np.frombuffer(data, np.int64, n_keys, 24)
+    found.base = np.frombuffer(data, np.int32, size, 24 + 8 * n_keys)
+    found.check = np.frombuffer(data, np.int32, size, 24 + 8 * n_keys + 4 * size)
     return found
 
 
+def _routed(words, at, tries, starts, length: int, which) -> None:
+    """Sets in ``which`` the phrase that starts at each place of ``at``; the n-th trie, if there,
+    holds the phrases dealt to lot n. One trie is unfolded at a time."""
+    at, lots = at.astype(np.int32), np.zeros(len(at), np.uint16 if len(tries) <= 1 << 16 else np.int64)
+    for start in range(0, len(at), 1 << 20):
+        some = slice(start, start + (1 << 20))
+        lots[some] = _lots([words[at[some] + i] for i in range(length)], len(tries))
+    here = np.array([folded is not None for folded in tries])
+    if not here.all():
+        kept = here[lots]
+        at, lots = at[kept], lots[kept]
+    order = np.argsort(lots, kind="stable")
+    at = at[order]
+    del order
+    ends = np.cumsum(np.bincount(lots, minlength=len(tries)))
+    del lots
+    for start, folded, first, end in zip(starts, tries, np.append(0, ends), ends):
+        if folded is not None and first < end:
+            trie = _unfolded(folded)
+            places, found = trie.walk(words, at[first:end])
+            which[places] = start + found
+            del trie
+
+
 def _found(
     block: list[np.ndarray], tries: list[bytes | None], starts: np.ndarray, length: int = 0,
 ) -> list[np.ndarray]:
@@ -255,28 +286,21 @@ def _found(
             del trie
         return which
     # What crosses from one list of words to the next has the 0 between them.
-    words = np.concatenate([np.append(words, 0).astype(words.dtype) for words in block])
+    ends = np.cumsum([len(words) + 1 for words in block])
+    words = np.zeros(ends[-1], block[0].dtype)
+    for some, end in zip(block, ends):
+        words[end - 1 - len(some) : end - 1] = some
     which = np.full(len(words), -1, np.int32)
-    columns = [words[i : len(words) - length + 1 + i] for i in range(length)]
-    if len(words) >= length:
-        at = np.flatnonzero(np.logical_and.reduce([column != 0 for column in columns]))
-        lots = _lots([column[at] for column in columns], len(tries))
-        order = np.argsort(lots, kind="stable")
-        ends = np.cumsum(np.bincount(lots, minlength=len(tries)))
-        at = at[order]
-        del lots, order
-        for start, folded, first, end in zip(starts, tries, np.append(0, ends), ends):
-            if folded is not None and first < end:
-                trie = _unfolded(folded)
-                places, found = trie.walk(words, at[first:end])
-                which[places] = start + found
-                del trie
-    return np.split(which, np.cumsum([len(words) + 1 for words in block])[:-1])
+    whole = words[: max(0, len(words) - length + 1)] != 0
+    for i in range(1, length):
+        whole &= words[i : i + len(whole)] != 0
+    _routed(words, np.flatnonzero(whole), tries, starts, length, which)
+    return np.split(which, ends[:-1])
 
 
 def _held(tries):
-    """Ids of all phrases, the tries by lot, and where the numbers of each lot's phrases start."""
-    parts = [trie.value if trie else (np.zeros(0, np.int64), None) for trie in tries]
+    """Ids of the phrases, the tries by lot, and where the places of each lot's phrases start."""
+    parts = [trie.value if trie else (np.zeros(0, np.int32), None) for trie in tries]
     ids = np.concatenate([ids for ids, _ in parts])
     return ids, [folded for _, folded in parts], np.cumsum([0, *(len(ids) for ids, _ in parts)])
 
@@ -296,29 +320,72 @@ def _coded(tries, seed: int):
     return run
 
 
-def _uncoded(batches):
-    """The numbers of words, lot by lot."""
+def _uncoded(column: pa.Array):
     read = zstandard.ZstdDecompressor()
-    for batch in batches:
-        for packed in batch.column("codes"):
-            yield np.frombuffer(read.decompress(packed.as_py()), np.int32)
+    for packed in column:
+        yield np.frombuffer(read.decompress(packed.as_py()), np.int32)
+
+
+def _marked(tries, length: int):
+    """``codes, before, now``, ``now`` with the numbers of the phrases of ``length`` words in these
+    tries where they start. ``before`` are the numbers of phrases one word shorter; only where one of
+    them starts, and one at the next place, a phrase can. ``now`` is null before the first round."""
+
+    def run(batches):
+        ids, folded, starts = _held(tries)
 
+        def lots():
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    yield [batch.column(name)[row].as_buffer() for name in ("codes", "before", "now")]
+
+        read, lot = zstandard.ZstdDecompressor(), []
+
+        def array(column: int):
+            return np.concatenate([np.frombuffer(read.decompress(row[column]), np.int32) for row in lot])
+
+        def marked():
+            before = array(1)
+            at = np.flatnonzero((before[:-1] > 0) & (before[1:] > 0))
+            now = np.zeros(len(before), np.int32) if lot[0][2] is None else array(2)
+            del before
+            at = at[now[at] == 0]
+            which = np.full(len(now), -1, np.int32)
+            _routed(array(0), at, folded, starts, length, which)
+            del at
+            there = np.flatnonzero(which >= 0)
+            now[there] = ids[which[there]]
+            del which, there
+            start = 0
+            for codes, of, _ in lot:
+                n = zstandard.frame_content_size(codes) // 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([bytes(x)], pa.binary())
+                     for x in (codes, of, pack(now[start : start + n].tobytes()))],
+                    names=["codes", "before", "now"])
+                start += n
+
+        size = 0
+        for row in lots():
+            lot.append(row)
+            size += zstandard.frame_content_size(row[0]) // 4
+            if size >= _BLOCK:
+                yield from marked()
+                lot.clear()
+                size = 0
+        if lot:
+            yield from marked()
 
-def _walked(tries, n_phrases: int, length: int, pairs: bool):
-    """``a, b, n``: occurrences of each phrase (b is null) and, with ``pairs``, of each phrase
-    directly followed, one word on, by another: together they are one word longer.
+    return run
 
-    Of length 1 are the ``n_phrases`` numbered words themselves."""
+
+def _walked(n_phrases: int, pairs: bool):
+    """``a, b, n``: occurrences of each of the phrases whose numbers, from 1, stand where they start
+    (b is null) and, with ``pairs``, of each phrase directly followed, one word on, by another:
+    together they are one word longer."""
 
     def run(batches):
-        if length == 1:
-            ids = np.arange(1, n_phrases + 1)
-            lots = ([words - 1] for words in _uncoded(batches))
-        else:
-            ids, folded, starts = _held(tries)
-            lots = (_found(block, folded, starts, length)
-                    for block in _blocks(_uncoded(batches), _BLOCK))
-        counts = np.zeros(len(ids), np.int64)
+        counts = np.zeros(n_phrases + 1, np.int64)
         held, sizes, total = [], [], 0
 
         def merged():
@@ -327,17 +394,17 @@ def _walked(tries, n_phrases: int, length: int, pairs: bool):
 
         def handed(found, n):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[found // len(ids)]), pa.array(ids[found % len(ids)]), pa.array(n)],
+                [pa.array(found // len(counts)), pa.array(found % len(counts)), pa.array(n)],
                 names=["a", "b", "n"])
 
-        for which in chain.from_iterable(lots):
-            seen, n_seen = np.unique(which[which >= 0], return_counts=True)
-            counts[seen] += n_seen
+        for which in chain.from_iterable(_uncoded(batch.column(0)) for batch in batches):
+            seen, n = np.unique(which[which > 0], return_counts=True)
+            counts[seen] += n
             if not pairs:
                 continue
-            on = np.flatnonzero((which[:-1] >= 0) & (which[1:] >= 0))
+            on = np.flatnonzero((which[:-1] > 0) & (which[1:] > 0))
             found, n = np.unique(
-                which[on].astype(np.int64) * len(ids) + which[on + 1], return_counts=True)
+                which[on].astype(np.int64) * len(counts) + which[on + 1], return_counts=True)
             held.append(found)
             sizes.append(n)
             total += len(found)
@@ -351,16 +418,14 @@ def _walked(tries, n_phrases: int, length: int, pairs: bool):
             yield from handed(*merged())
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[seen]), pa.array(np.zeros(len(seen), np.int64), mask=np.ones(len(seen), bool)),
+            [pa.array(seen), pa.array(np.zeros(len(seen), np.int64), mask=np.ones(len(seen), bool)),
              pa.array(counts[seen])], names=["a", "b", "n"])
 
     return run
 
 
-def _tries(phrases: DataFrame, n: int) -> list:
-    """Ids and trie of each lot of ``phrases``, as broadcasts of bounded size; None for empty lots.
-
-    Tasks build the tries, and the driver passes on one after the other."""
+def _tries(phrases: DataFrame, n: int) -> tuple[DataFrame, list[list[int]], int]:
+    """``lot, ids, trie`` of ``phrases``, built by tasks, the lots of each round, and how many there are."""
     lots = -(-n // TRIE)
 
     def dealt(batches):
@@ -375,23 +440,34 @@ def _tries(phrases: DataFrame, n: int) -> list:
         ids = table["id"].to_numpy()
         keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         return pa.table({
-            "lot": table["lot"][:1], "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
+            "lot": table["lot"][:1], "ids": pa.array([ids.astype(np.int32).tobytes()], pa.binary()),
             "trie": pa.array([_folded(Trie(keys))], pa.binary())})
 
-    context, out = phrases.sparkSession.sparkContext, [None] * lots
-    made = (
+    made = as_table(
         phrases.select("id", "keys").mapInArrow(dealt, "lot int, id long, keys array<long>")
-        .groupBy("lot").applyInArrow(built, "lot int, ids binary, trie binary")
-    )
-    made = as_table(made, fresh_folder(phrases.sparkSession, "phrases-tries"))
-    for row in made.toLocalIterator():
-        out[row.lot] = context.broadcast((np.frombuffer(row.ids, np.int64), bytes(row.trie)))
+        .groupBy("lot").applyInArrow(built, "lot int, ids binary, trie binary"),
+        fresh_folder(phrases.sparkSession, "phrases-tries"))
+    rounds, held = [[]], 0
+    for lot, size in sorted(made.select("lot", F.length("ids") + F.length("trie")).collect()):
+        if rounds[-1] and held + size > _ROUND:
+            rounds.append([])
+            held = 0
+        rounds[-1].append(lot)
+        held += size
+    return made, rounds, lots
+
+
+def _sent(made: DataFrame, chosen: list[int], lots: int) -> list:
+    """Ids and trie of each lot chosen as broadcasts, None for the others."""
+    context, out = made.sparkSession.sparkContext, [None] * lots
+    for row in made.where(F.col("lot").between(chosen[0], chosen[-1])).toLocalIterator():
+        out[row.lot] = context.broadcast((np.frombuffer(row.ids, np.int32), bytes(row.trie)))
     return out
 
 
 def _drop(tries) -> None:
     for trie in filter(None, tries):
-        trie.unpersist()
+        trie.destroy()
 
 
 def _numbered(phrases: DataFrame) -> DataFrame:
@@ -422,10 +498,11 @@ def mine_phrases(
     these pairs of numbers are combined in tasks and summed, and what is frequent goes into the
     next tries. One trie holds ``TRIE`` phrases, so a broadcast's size is bounded. Phrases are dealt
     to tries by a hash of their words, so a place is walked through one trie only, and work does not
-    grow with their number but for unfolding. Tries travel compressed, and a task unfolds one at a
-    time for ``_BLOCK`` words; beside the compressed tries it holds a number and a count per frequent
-    phrase of a length. Texts are cut into words twice: to count them, and to write them as the
-    numbers of the frequent ones, which the levels read.
+    grow with their number but for unfolding. Tries travel compressed, ``_ROUND`` bytes at a time
+    (those of single words all at once), and a task unfolds one at a time for ``_BLOCK`` words; to
+    count, it holds a number per frequent phrase of a length. Texts are cut into words twice: to
+    count them, and to write them as the numbers of the frequent ones; each level reads these and
+    what the level before found, and writes what it finds.
 
     Words travel as 64-bit hashes; another seed is taken should any two words share one. Null
     texts count as empty, a null language as ``und``; repeated rows count as often as they stand;
@@ -455,22 +532,33 @@ def mine_phrases(
         words.where(F.col("n") >= least)
         .select(number, F.array("key").alias("keys"), "w.lang", F.array("w.word").alias("words")),
         "1"))
-    counted, coded = [], None
+    # Each task unfolds all tries of a round, so it should have a whole block to walk.
+    n_words = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-n_words // _BLOCK))
+    counted, found = [], None
     for length in range(1, longest + 1):
         n = phrases.count()
         if not n:
             break
-        tries = _tries(phrases, n)
+        made, rounds, lots = _tries(phrases, n)
         if length == 1:
-            coded = table(rows.mapInArrow(_coded(tries, seed), "codes binary"), "codes")
+            tries = _sent(made, sum(rounds, []), lots)
+            found = table(rows.mapInArrow(_coded(tries, seed), "codes binary"), "codes")
+            found = found.withColumn("now", F.col("codes"))
             _drop(tries)
-            tries = []
             phrases = phrases.withColumn("keys", F.array("id"))
+        else:
+            found = found.select("codes", F.col("now").alias("before"), F.lit(None).cast("binary").alias("now"))
+            for chosen in rounds:
+                tries = _sent(made, chosen, lots)
+                found = table(
+                    found.coalesce(tasks).mapInArrow(_marked(tries, length), "codes binary, before binary, now binary"),
+                    f"found-{length}")
+                _drop(tries)
         walked = table(
-            coded.mapInArrow(_walked(tries, n, length, length < longest), "a long, b long, n long")
+            found.select("now").mapInArrow(_walked(n, length < longest), "a long, b long, n long")
             .groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least),
             f"walked-{length}")
-        _drop(tries)
         counts = walked.where("b is null").select(F.col("a").alias("id"), F.col("n").alias("f"))
         counted.append(phrases.join(counts, "id").select(
             "lang", "words", F.concat_ws(" ", "words").alias("phrase"), "f"))
@@ -480,11 +568,11 @@ def mine_phrases(
         second = phrases.select(
             F.col("id").alias("b"), F.element_at("keys", -1).alias("key"),
             F.element_at("words", -1).alias("word"))
-        phrases = table(
+        phrases = _numbered(table(
             walked.where("b is not null").join(first, "a").join(second, "b").select(
                 number, F.concat("keys_a", F.array("key")).alias("keys"), "lang",
                 F.concat("words_a", F.array("word")).alias("words")),
-            f"{length + 1}")
+            f"{length + 1}"))
     if not counted:
         return spark.createDataFrame(
             [], "lang string, rank long, phrase string, a long, l long, r long, n long, score long")

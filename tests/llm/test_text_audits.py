@@ -265,3 +265,20 @@ def test_a_place_is_walked_through_one_trie_only(monkeypatch):
     for words, found in zip(block, which):
         want = [number.get(tuple(words[i : i + 2].tolist()), -1) for i in range(len(words))]
         assert found.tolist() == [*want, -1]
+
+
+def test_phrases_in_rounds_of_tries(spark, monkeypatch):
+    """Broadcasts are bounded together, not only one by one, and rounds change no row."""
+    monkeypatch.setattr(collocations, "TRIE", 40)
+    monkeypatch.setattr(collocations, "_ROUND", 1)
+    sent, send = [], collocations._sent
+
+    def watched(made, chosen, lots):
+        sent.append(len(chosen))
+        return send(made, chosen, lots)
+
+    monkeypatch.setattr(collocations, "_sent", watched)
+    rows, df = corpus(spark)
+    got = collocations.mine_phrases(df, least=4, places=40).collect()
+    assert sorted(tuple(r) for r in got) == phrases_by_hand(rows, 4, 40)
+    assert len(sent) > 4 and set(sent[1:]) == {1}
