@@ -312,7 +312,7 @@ def _coded(tries, seed: int):
     def run(batches):
         ids, folded, starts = _held(tries)
         codes = np.append(ids, 0).astype(np.int32)
-        for block in _blocks(sequences(batches, seed), _BLOCK // 2):
+        for block in _blocks(sequences(batches, seed), _BLOCK // 4):
             for which in _found(block, folded, starts, 1):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([pack(codes[which].tobytes())], pa.binary())], names=["codes"])
@@ -532,9 +532,6 @@ def mine_phrases(
         words.where(F.col("n") >= least)
         .select(number, F.array("key").alias("keys"), "w.lang", F.array("w.word").alias("words")),
         "1"))
-    # Each task unfolds all tries of a round, so it should have a whole block to walk.
-    n_words = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-n_words // _BLOCK))
     counted, found = [], None
     for length in range(1, longest + 1):
         n = phrases.count()
@@ -552,7 +549,7 @@ def mine_phrases(
             for chosen in rounds:
                 tries = _sent(made, chosen, lots)
                 found = table(
-                    found.coalesce(tasks).mapInArrow(_marked(tries, length), "codes binary, before binary, now binary"),
+                    found.mapInArrow(_marked(tries, length), "codes binary, before binary, now binary"),
                     f"found-{length}")
                 _drop(tries)
         walked = table(
